@@ -169,13 +169,15 @@ def wall_triangles(buildings: DataFrame, keep: Sequence[str]) -> DataFrame:
 
     ``buildings``: ``parts, base_z, top_z, roof_raise``.
     """
-    center = M.area_centroid(F.col("parts"))
-    rings = buildings.select(*keep, "base_z", "top_z", "roof_raise", center.alias("_c"), F.explode(F.flatten("parts")).alias("_r"))
+    centered = buildings.withColumn("_c", M.area_centroid(F.col("parts")))
+    rings = centered.select(*keep, "base_z", "top_z", "roof_raise", "_c", F.explode(F.flatten("parts")).alias("_r"))
     ends = F.transform(
         F.sequence(F.lit(1), F.size("_r") - 1),
         lambda i: F.struct(F.get(F.col("_r"), i - 1).alias("p"), F.get(F.col("_r"), i).alias("q")),
     )
-    edges = rings.where(F.size("_r") >= 4).select(*keep, "base_z", "top_z", "roof_raise", "_c", F.explode(ends).alias("_e"))
+    edges = rings.where(F.size("_r") >= 4).withColumn("_ends", ends).select(
+        *keep, "base_z", "top_z", "roof_raise", "_c", F.explode("_ends").alias("_e")
+    )
     px, py, qx, qy = F.col("_e.p.x"), F.col("_e.p.y"), F.col("_e.q.x"), F.col("_e.q.y")
     lo, hi = F.col("base_z"), F.col("top_z")
     wall = F.lit("wall")
@@ -190,7 +192,7 @@ def wall_triangles(buildings: DataFrame, keep: Sequence[str]) -> DataFrame:
             peak,
         )
     )
-    return edges.select(*keep, F.explode(tris).alias("_t")).select(*keep, "_t.*")
+    return edges.withColumn("_tris", tris).select(*keep, F.explode("_tris").alias("_t")).select(*keep, "_t.*")
 
 
 def roof_triangles(buildings: DataFrame, keep: Sequence[str], *, seq: str = "seq", on: Sequence[str] = (), tile: float = TILE_M) -> DataFrame:

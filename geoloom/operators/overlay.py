@@ -34,8 +34,8 @@ TILE_KEYS = ["_depth", "_fx", "_fy"]
 def edge_rows(polygons: DataFrame, parts: str = "parts") -> DataFrame:
     """One row per non-horizontal edge with the x-range of its whole geometry (``ex0, ex1``)."""
     others = [c for c in polygons.columns if c != parts]
-    box = M.parts_bbox(F.col(parts))
-    rings = polygons.select(*others, box.alias("_b"), F.explode(F.flatten(parts)).alias("_ring"))
+    boxed = polygons.withColumn("_b", M.parts_bbox(F.col(parts)))
+    rings = boxed.select(*others, "_b", F.explode(F.flatten(parts)).alias("_ring"))
     ends = F.transform(
         F.sequence(F.lit(0), F.size("_ring") - 1),
         lambda i: F.struct(
@@ -44,7 +44,8 @@ def edge_rows(polygons: DataFrame, parts: str = "parts") -> DataFrame:
     )
     return (
         rings.where(F.size("_ring") >= 3)
-        .select(*others, F.col("_b"), F.explode(ends).alias("_e"))
+        .withColumn("_ends", ends)
+        .select(*others, "_b", F.explode("_ends").alias("_e"))
         .where("_e.a.y <> _e.b.y")
         .select(
             *others,
@@ -362,15 +363,18 @@ class FootprintOverlaps:
             F.max("seq").alias("max_seq"),
         )
         # A geometry is named by a hash of its vertices; equal hashes are separated by the first feature.
-        self.shapes = distinct.withColumn("gid", F.xxhash64("polygon", "gid_seq")).withColumn(
-            "shape_area", M.polygon_area(F.col("polygon"))
+        self.shapes = cut_lineage(
+            distinct.withColumn("gid", F.xxhash64("polygon", "gid_seq")).withColumn(
+                "shape_area", M.polygon_area(F.col("polygon"))
+            )
         )
         shapes = self.shapes.withColumn("parts", F.array("polygon"))
         crossing = geometry_overlaps(shapes, on=on, tile=tile, hot_edges=hot_edges)
         own = self.shapes.where("n > 1 and gid_seq < max_seq").select(
             *on, F.col("gid").alias("gid_a"), F.col("gid").alias("gid_b"), F.col("shape_area").alias("area")
         )
-        self.pairs = crossing.unionByName(own).where(F.col("area") > min_area)
+        # Both reports read the shapes and the pairs several times.
+        self.pairs = cut_lineage(crossing.unionByName(own).where(F.col("area") > min_area))
         self.members = lookup_join(
             polygons, self.shapes.select(*on, "polygon", "gid"), [*on, "polygon"], spread=["seq"], how="inner"
         ).select(*on, "gid", "seq", "source_tag")
@@ -664,15 +668,9 @@ def gap_pieces(
     circle = S.circle_edges(outer, ROI_SEGMENTS)
     core = None if inner is None else S.circle_edges(inner, ROI_SEGMENTS)
     key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.select(*on).schema)
-    schema = ", ".join(
-        t
-        for t in (
-            key_types,
-            "node string, kind string, zone string, side string, at double, lo double, hi double, "
-            "y_lo double, y_hi double, xl_lo double, xl_hi double, xr_lo double, xr_hi double",
-        )
-        if t
-    )
+    numbers = ("at", "lo", "hi", "y_lo", "y_hi", "xl_lo", "xl_hi", "xr_lo", "xr_hi")
+    codes = ("depth", "fx", "fy", "piece", "kind", "zone", "side")
+    schema = ", ".join(t for t in (key_types, *[f"{c} bigint" for c in codes], *[f"{c} double" for c in numbers]) if t)
     keys = list(on)
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -686,33 +684,37 @@ def gap_pieces(
         free = _covered_by(s, -1) & _covered_by(s, -2) & (_first_cover(s, len(seqs)) == len(seqs)) & (s.area > 0)
         zone = np.zeros(len(s.slab), np.int64) if core is None else np.where(_covered_by(s, -3), 1, 2)
         piece = S.label_components(s, free, zone)
-        names = np.array(["full", "inner", "annular"], object)
-        prefix = "_".join(str(int(head[k])) for k in TILE_KEYS)
         rows = np.flatnonzero(free)
         label, *shape = S.merge_runs(s, rows, piece[rows])
-        out = pd.DataFrame(dict(zip(("y_lo", "y_hi", "xl_lo", "xl_hi", "xr_lo", "xr_hi"), shape)))
-        out["node"] = [f"{prefix}_{n}" for n in label]
-        out["zone"], out["kind"] = names[zone[label]], "piece"
-        border = [
-            (piece[i], zone[i], sd, at, lo_, hi_)
-            for i in rows
-            for sd, touches, at, lo_, hi_ in (
-                ("left", s.xl_lo[i] <= box[0] and s.xl_hi[i] <= box[0], box[0], s.y_lo[i], s.y_hi[i]),
-                ("right", s.xr_lo[i] >= box[2] and s.xr_hi[i] >= box[2], box[2], s.y_lo[i], s.y_hi[i]),
-                ("bottom", s.y_lo[i] <= box[1], box[1], s.xl_lo[i], s.xr_lo[i]),
-                ("top", s.y_hi[i] >= box[3], box[3], s.xl_hi[i], s.xr_hi[i]),
-            )
-            if touches
-        ]
-        side_rows = pd.DataFrame(border, columns=["piece", "z", "side", "at", "lo", "hi"])
-        side_rows["node"] = [f"{prefix}_{n}" for n in side_rows["piece"]]
-        side_rows["zone"], side_rows["kind"] = names[side_rows["z"].to_numpy(int)], "border"
-        both = pd.concat([out, side_rows.drop(columns=["piece", "z"])], ignore_index=True)
+        table = [np.column_stack([label, np.zeros(len(label)), zone[label], np.full(len(label), -1), np.zeros((len(label), 3)), *shape])]
+        sides = (
+            (0, box[0], (s.xl_lo <= box[0]) & (s.xl_hi <= box[0]), s.y_lo, s.y_hi),
+            (1, box[2], (s.xr_lo >= box[2]) & (s.xr_hi >= box[2]), s.y_lo, s.y_hi),
+            (2, box[1], s.y_lo <= box[1], s.xl_lo, s.xr_lo),
+            (3, box[3], s.y_hi >= box[3], s.xl_hi, s.xr_hi),
+        )
+        for code, at, touches, lo_, hi_ in sides:
+            i = np.flatnonzero(free & touches & (hi_ > lo_))
+            fixed = [piece[i], np.ones(len(i)), zone[i], np.full(len(i), code), np.full(len(i), at), lo_[i], hi_[i]]
+            table.append(np.column_stack([*fixed, np.zeros((len(i), 6))]))
+        out = pd.DataFrame(np.vstack(table), columns=["piece", "kind", "zone", "side", *numbers])
+        for c, k in zip(("depth", "fx", "fy"), TILE_KEYS):
+            out[c] = int(head[k])
         for k in keys:
-            both[k] = head[k]
-        return both.reindex(columns=[*keys, "node", "kind", "zone", "side", "at", "lo", "hi", "y_lo", "y_hi", "xl_lo", "xl_hi", "xr_lo", "xr_hi"])
-
-    return routed.groupBy(*on, *TILE_KEYS).applyInPandas(fill, schema)
+            out[k] = head[k]
+        out = out.astype({c: np.int64 for c in codes})
+        return out[[*keys, *codes, *numbers]]
+
+    filled = routed.groupBy(*on, *TILE_KEYS).applyInPandas(fill, schema)
+    names = lambda c, values: F.get(F.array(*[F.lit(v) for v in values]), F.col(c).cast("int"))
+    return filled.select(
+        *on,
+        F.concat_ws("_", "depth", "fx", "fy", "piece").alias("node"),
+        names("kind", ("piece", "border")).alias("kind"),
+        names("zone", ("full", "inner", "annular")).alias("zone"),
+        names("side", ("left", "right", "bottom", "top")).alias("side"),
+        *numbers,
+    )
 
 
 def gap_fill(
@@ -777,7 +779,8 @@ def gap_fill(
     return numbered.select(*keys, "gap_no", "zone", "component", "area_m2", "cx", "cy", "centroid_distance_m")
 
 
-def trapezoid_parts(y_lo="y_lo", y_hi="y_hi", xl_lo="xl_lo", xl_hi="xl_hi", xr_lo="xr_lo", xr_hi="xr_hi") -> Column:
-    """A trapezoid row as one polygon ring list."""
+def trapezoid_polygon() -> Column:
+    """A trapezoid row as one polygon (a list with one closed ring)."""
     v = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    return F.array(F.array(v(xl_lo, y_lo), v(xr_lo, y_lo), v(xr_hi, y_hi), v(xl_hi, y_hi), v(xl_lo, y_lo)))
+    ring = F.array(v("xl_lo", "y_lo"), v("xr_lo", "y_lo"), v("xr_hi", "y_hi"), v("xl_hi", "y_hi"), v("xl_lo", "y_lo"))
+    return F.array(ring)

@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 from geoloom import params as P
 from geoloom.functions import measure as M
 from geoloom.operators.ordering import stride_sample
+from geoloom.operators.skew import cut_lineage
 from geoloom.operators.spatial import (
     POLY_BOX,
     box_join,
     distinct_polygons,
-    footprint_flags,
+    footprint_hits,
     near_tag_points,
     points_in_polygons,
 )
@@ -155,37 +156,34 @@ def canopy_evidence(
 # --- roof level ------------------------------------------------------------------------------
 
 
-def _roof_level(samples: list, surface_z: float) -> float | None:
+def _roof_level(x: np.ndarray, y: np.ndarray, z: np.ndarray, d2: np.ndarray, surface_z: float) -> float | None:
     """Roof height among samples around one candidate: cluster, then pick by height and distance."""
-    if samples is None or len(samples) == 0:
+    if x is None or len(x) == 0:
         return None
-    pts = np.array([(p["x"], p["y"], p["z"], p["d2"]) for p in samples], float)
-    gap = pts[:, None, :] - pts[None, :, :]
-    linked = (gap[..., 0] ** 2 + gap[..., 1] ** 2 <= P.ROOF_CLUSTER_RADIUS_M**2) & (
-        np.abs(gap[..., 2]) <= P.ROOF_CLUSTER_Z_M
-    )
-    label = np.arange(len(pts))
+    near = np.square(x[:, None] - x[None, :]) + np.square(y[:, None] - y[None, :]) <= P.ROOF_CLUSTER_RADIUS_M**2
+    linked = near & (np.abs(z[:, None] - z[None, :]) <= P.ROOF_CLUSTER_Z_M)
+    label = np.arange(len(x))
     while True:
-        spread = np.where(linked, label[None, :], len(pts)).min(axis=1)
-        spread = np.minimum(label, spread)
+        spread = np.where(linked, label[None, :], len(x)).min(axis=1)
         spread = spread[spread]
         if (spread == label).all():
             break
         label = spread
-    clusters = []
-    for name in np.unique(label):
-        member = label == name
-        z = np.sort(pts[member, 2])
-        clusters.append((float(pts[member, 3].min()), float(z[(len(z) - 1) // 2])))
-    below = [c for c in clusters if c[1] <= surface_z + P.ROOF_CLUSTER_Z_M]
-    close = [c for c in below if abs(surface_z - c[1]) < P.ROOF_OFFSET_M]
-    return min(close or below or clusters)[1]
+    order = np.lexsort((z, label))
+    first = np.flatnonzero(np.r_[True, np.diff(label[order]) != 0])
+    size = np.diff(np.r_[first, len(x)])
+    roof = z[order][first + (size - 1) // 2]
+    nearest = np.minimum.reduceat(d2[order], first)
+    below = roof <= surface_z + P.ROOF_CLUSTER_Z_M
+    close = below & (np.abs(surface_z - roof) < P.ROOF_OFFSET_M)
+    pool = close if close.any() else below if below.any() else np.ones(len(roof), bool)
+    return float(roof[pool][np.argmin(nearest[pool])])
 
 
 @F.pandas_udf(T.DoubleType())
-def roof_level(samples: pd.Series, surface_z: pd.Series) -> pd.Series:
-    """Roof height from the samples within the search radius (a bounded array per candidate)."""
-    return pd.Series([_roof_level(s, z) for s, z in zip(samples, surface_z)], dtype="float64")
+def roof_level(x: pd.Series, y: pd.Series, z: pd.Series, d2: pd.Series, surface_z: pd.Series) -> pd.Series:
+    """Roof height from the samples within the search radius (bounded arrays per candidate)."""
+    return pd.Series([_roof_level(*row) for row in zip(x, y, z, d2, surface_z)], dtype="float64")
 
 
 def estimate_roofs(
@@ -218,7 +216,10 @@ def estimate_roofs(
     )
     sample = F.struct(F.col("rx").alias("x"), F.col("ry").alias("y"), F.col("rz").alias("z"), d2.alias("d2"))
     near = pairs.groupBy(*ids, "surface_z").agg(F.array_sort(F.collect_list(sample)).alias("_samples"))
-    levels = near.select(*ids, roof_level("_samples", "surface_z").alias("roof_z"))
+    axis = lambda name: F.transform("_samples", lambda s: s[name])
+    levels = near.select(
+        *ids, roof_level(axis("x"), axis("y"), axis("z"), axis("d2"), F.col("surface_z")).alias("roof_z")
+    )
     return candidates.join(levels, ids, "left")
 
 
@@ -249,33 +250,30 @@ def classify_cells(
     if canopy is not None:
         base = local_relief(base, radius_cells=relief_cells or 1, by=tile_keys)
     valid = valid_cells(base, bbox).withColumn("height", F.col("surface_z") - F.col("ground_z"))
-    flagged = footprint_flags(
-        valid, polygons, key=ids, on=on, buffer_m=P.FOOTPRINT_BUFFER_M if canopy is not None else 0.0
-    )
-    no = F.lit(False)
-    if canopy is None:
-        evidence = flagged.withColumns({"vegetation": no, "tagged": no, "zone": no, "roof_z": F.lit(None).cast("double")})
-        tree = no
-    else:
+    no, yes = F.lit(False), F.lit(True)
+    buffer_m = P.FOOTPRINT_BUFFER_M if canopy is not None else 0.0
+    hits = footprint_hits(valid, polygons, key=ids, on=on, buffer_m=buffer_m).withColumns({"vegetation": no, "tagged": no})
+    if canopy is not None:
         tall = valid.where(F.col("height") >= P.TREE_HEIGHT_M)
-        veg = canopy_evidence(tall, on=on, **canopy).select(*ids, F.lit(True).alias("vegetation"))
-        evidence = flagged.join(veg, ids, "left")
-        if tags is None:
-            evidence = evidence.withColumn("tagged", no)
-        else:
-            near = near_tag_points(tall, tags, on=on, point_id=ids).select(*ids, F.lit(True).alias("tagged"))
-            evidence = evidence.join(near, ids, "left")
-        evidence = evidence.withColumns(
-            {
-                "vegetation": F.coalesce("vegetation", no),
-                "tagged": F.coalesce("tagged", no),
-                "zone": F.col("inside") | F.col("near"),
-            }
+        flag = lambda df, name: df.select(
+            *ids, *[(yes if c == name else no).alias(c) for c in ("inside", "near", "vegetation", "tagged")]
         )
+        hits = hits.unionByName(flag(canopy_evidence(tall, on=on, **canopy), "vegetation"))
+        if tags is not None:
+            hits = hits.unionByName(flag(near_tag_points(tall, tags, on=on, point_id=ids), "tagged"))
+        hits = hits.groupBy(*ids).agg(*[F.bool_or(c).alias(c) for c in ("inside", "near", "vegetation", "tagged")])
+    # One join brings all kinds of evidence to the cells.
+    evidence = valid.join(hits, ids, "left").withColumns(
+        {c: F.coalesce(c, no) for c in ("inside", "near", "vegetation", "tagged")}
+    ).withColumn("zone", F.col("inside") | F.col("near"))
+    if canopy is None:
+        evidence, tree = evidence.withColumn("roof_z", F.lit(None).cast("double")), no
+    else:
+        # The roof step reads the evidence three times (candidates, samples, result).
+        evidence = cut_lineage(evidence)
         candidate = (F.col("height") >= P.TREE_HEIGHT_M) & (F.col("vegetation") | F.col("tagged"))
-        roofs = flagged.where((F.col("height") >= P.BUILDING_HEIGHT_M) & F.col("inside"))
-        needing = evidence.where(candidate & F.col("zone"))
-        levels = estimate_roofs(needing, roofs, key=ids, on=tile_keys).select(*ids, "roof_z")
+        roofs = evidence.where((F.col("height") >= P.BUILDING_HEIGHT_M) & F.col("inside"))
+        levels = estimate_roofs(evidence.where(candidate & F.col("zone")), roofs, key=ids, on=tile_keys).select(*ids, "roof_z")
         evidence = evidence.join(levels, ids, "left")
         offset = F.abs(F.col("surface_z") - F.col("roof_z")) >= P.ROOF_OFFSET_M
         tree = candidate & F.when(F.col("zone"), F.coalesce(offset, no)).otherwise(

@@ -259,7 +259,7 @@ def points_near_polygons(
     )
 
 
-def footprint_flags(
+def footprint_hits(
     points: DataFrame,
     polygons: DataFrame,
     *,
@@ -270,10 +270,9 @@ def footprint_flags(
     cell: float = INDEX_CELL_M,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """All points with ``inside`` and ``near`` (within the buffer) flags from one spatial join."""
+    """Points in or near a polygon: ``on, key, inside, near`` from one spatial join (others are absent)."""
     px, py = F.col(xy[0]), F.col(xy[1])
     inside = M.point_in_polygon(F.col("polygon"), px, py)
-    hit = inside
     near = F.lit(False)
     if buffer_m > 0.0:
         near = M.polygon_boundary_distance(F.col("polygon"), px, py) <= buffer_m
@@ -289,10 +288,7 @@ def footprint_flags(
         hot_rows=hot_rows,
     )
     ids = list(dict.fromkeys([*on, *key]))
-    flags = pairs.groupBy(*ids).agg(F.bool_or(hit).alias("inside"), F.bool_or(near).alias("near"))
-    return points.join(flags, ids, "left").withColumns(
-        {"inside": F.coalesce("inside", F.lit(False)), "near": F.coalesce("near", F.lit(False))}
-    )
+    return pairs.groupBy(*ids).agg(F.bool_or(inside).alias("inside"), F.bool_or(near).alias("near"))
 
 
 # --- distances between points --------------------------------------------------------

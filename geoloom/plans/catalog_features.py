@@ -859,7 +859,7 @@ def precedence_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.ordinal(df, order="seq", out="position", by=["region", "rank"])
 
 
-TREE_TOLERANCE_M = 2.0
+TREE_TOLERANCE_M = 6.0
 DEDUPE_PAIRS = HAV.format(lat1="a.lat", lon1="a.lon", lat2="b.lat", lon2="b.lon")
 
 
@@ -867,13 +867,13 @@ DEDUPE_PAIRS = HAV.format(lat1="a.lat", lon1="a.lon", lat2="b.lat", lon2="b.lon"
     "dedupe_near_trees",
     ctes("fx_points", extra=[("t", "select * from fx_points where key1 = 'natural'")])
     + f", pairs as (select a.region, a.osm_num as seq, b.osm_num as s_seq, {DEDUPE_PAIRS} as d from t a join t b on a.region = b.region"
-    " and a.osm_num % 2 = 0 and b.osm_num % 2 = 1 and abs(a.lat - b.lat) < 0.00005 and abs(a.lon - b.lon) < 0.00005)"
+    " and a.osm_num % 2 = 0 and b.osm_num % 2 = 1 and abs(a.lat - b.lat) < 0.0002 and abs(a.lon - b.lon) < 0.0002)"
     f", best as (select region, seq, min_by(s_seq, d) as s_seq, min(d) as d from pairs where d <= {TREE_TOLERANCE_M} group by 1, 2)"
     " select t.region, t.osm_num as seq, best.seq is not null as removed, cast(best.s_seq as string) as nearest_id, round(best.d, 3) as nearest_distance_m"
     " from t left join best on best.region = t.region and best.seq = t.osm_num where t.osm_num % 2 = 0",
 )
 def dedupe_near_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Map trees (even ids) that repeat a supplemental tree (odd ids) within two metres."""
+    """Map trees (even ids) that repeat a supplemental tree (odd ids) within six metres."""
     trees = view(spark, sf_dir, "fx_points").where("key1 = 'natural'").select("region", F.col("osm_num").alias("seq"), "lon", "lat")
     supplements = trees.where("seq % 2 = 1").withColumn("osm_id", F.col("seq").cast("string"))
     out = drop_duplicate_trees(
@@ -892,7 +892,7 @@ def dedupe_near_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     "dedupe_first_removed",
     ctes("fx_points", extra=[("t", "select * from fx_points where key1 = 'natural'")])
     + f", pairs as (select a.osm_num as seq, {DEDUPE_PAIRS} as d from t a join t b on a.region = b.region"
-    " and a.osm_num % 2 = 0 and b.osm_num % 2 = 1 and abs(a.lat - b.lat) < 0.00005 and abs(a.lon - b.lon) < 0.00005)"
+    " and a.osm_num % 2 = 0 and b.osm_num % 2 = 1 and abs(a.lat - b.lat) < 0.0002 and abs(a.lon - b.lon) < 0.0002)"
     f" select seq, round(min(d), 3) as nearest_distance_m from pairs where d <= {TREE_TOLERANCE_M} group by 1 order by seq limit 200",
 )
 def dedupe_first_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
