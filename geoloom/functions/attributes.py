@@ -143,15 +143,10 @@ def building_number(value: Column) -> Column:
 
 def first_tree_number(tags: Column, keys: tuple[str, ...]) -> Column:
     """Struct ``(key, value)`` of the first parsable tag, or null."""
-    return F.coalesce(
-        *[
-            F.when(
-                tree_number(tag(tags, k)).isNotNull(),
-                F.struct(F.lit(k).alias("key"), tree_number(tag(tags, k)).alias("value")),
-            )
-            for k in keys
-        ]
+    keyed = lambda k: let(
+        tree_number(tag(tags, k)), lambda n: F.when(n.isNotNull(), F.struct(F.lit(k).alias("key"), n.alias("value")))
     )
+    return F.coalesce(*[keyed(k) for k in keys])
 
 
 def source_species(tags: Column) -> Column:
@@ -181,49 +176,64 @@ def sourced(value: Column, source: Column) -> Column:
 
 
 def tree_height(tags: Column, model: Column) -> Column:
-    tagged = first_tree_number(tags, ("height", "tree:height"))
-    circ = first_tree_number(tags, ("circumference",))["value"]
-    allometric = F.greatest(
-        F.lit(4.0), F.least(model["default_height_m"], 6.0 + 2.2 * F.sqrt(F.greatest(circ, F.lit(0.0))))
-    )
-    return (
-        F.when(
-            tagged["value"] > 1.5,
-            sourced(F.least(tagged["value"], F.lit(35.0)), F.concat(F.lit("tag:"), tagged["key"])),
+    """Tagged height, else allometry from the circumference, else the model default."""
+
+    def choose(found: Column) -> Column:
+        tagged, circ = found["tagged"], found["circumference"]
+        allometric = F.greatest(
+            F.lit(4.0), F.least(model["default_height_m"], 6.0 + 2.2 * F.sqrt(F.greatest(circ, F.lit(0.0))))
         )
-        .when(circ > 0.0, sourced(allometric, F.lit("allometry:circumference")))
-        .otherwise(
-            sourced(model["default_height_m"], F.concat(F.lit("default:"), model["name"], F.lit(".height_m")))
+        return (
+            F.when(
+                tagged["value"] > 1.5,
+                sourced(F.least(tagged["value"], F.lit(35.0)), F.concat(F.lit("tag:"), tagged["key"])),
+            )
+            .when(circ > 0.0, sourced(allometric, F.lit("allometry:circumference")))
+            .otherwise(
+                sourced(model["default_height_m"], F.concat(F.lit("default:"), model["name"], F.lit(".height_m")))
+            )
         )
+
+    return let(_found(tags, ("height", "tree:height")), choose)
+
+
+def _found(tags: Column, keys: tuple[str, ...]) -> Column:
+    return F.struct(
+        first_tree_number(tags, keys).alias("tagged"),
+        first_tree_number(tags, ("circumference",))["value"].alias("circumference"),
     )
 
 
 def crown_radius(tags: Column, model: Column, height: Column) -> Column:
-    tagged = first_tree_number(tags, ("crown:diameter", "diameter_crown"))
-    return F.when(
-        tagged["value"] > 0.5,
-        sourced(F.least(tagged["value"] / 2.0, height * 0.48), F.concat(F.lit("tag:"), tagged["key"])),
-    ).otherwise(
-        sourced(
-            F.least(model["default_crown_radius_m"], height * 0.42),
-            F.concat(F.lit("default:"), model["name"], F.lit(".crown_radius_m")),
+    def choose(tagged: Column) -> Column:
+        return F.when(
+            tagged["value"] > 0.5,
+            sourced(F.least(tagged["value"] / 2.0, height * 0.48), F.concat(F.lit("tag:"), tagged["key"])),
+        ).otherwise(
+            sourced(
+                F.least(model["default_crown_radius_m"], height * 0.42),
+                F.concat(F.lit("default:"), model["name"], F.lit(".crown_radius_m")),
+            )
         )
-    )
+
+    return let(first_tree_number(tags, ("crown:diameter", "diameter_crown")), choose)
 
 
 def trunk_radius(tags: Column, model: Column, height: Column) -> Column:
-    tagged = first_tree_number(tags, ("diameter", "trunk:diameter"))
-    circ = first_tree_number(tags, ("circumference",))["value"]
-    return (
-        F.when(tagged["value"] > 0.05, sourced(tagged["value"] / 2.0, F.concat(F.lit("tag:"), tagged["key"])))
-        .when(circ > 0.1, sourced(circ / (2.0 * math.pi), F.lit("allometry:circumference")))
-        .otherwise(
-            sourced(
-                F.least(model["default_trunk_radius_m"], height * 0.035),
-                F.concat(F.lit("default:"), model["name"], F.lit(".trunk_radius_m")),
+    def choose(found: Column) -> Column:
+        tagged, circ = found["tagged"], found["circumference"]
+        return (
+            F.when(tagged["value"] > 0.05, sourced(tagged["value"] / 2.0, F.concat(F.lit("tag:"), tagged["key"])))
+            .when(circ > 0.1, sourced(circ / (2.0 * math.pi), F.lit("allometry:circumference")))
+            .otherwise(
+                sourced(
+                    F.least(model["default_trunk_radius_m"], height * 0.035),
+                    F.concat(F.lit("default:"), model["name"], F.lit(".trunk_radius_m")),
+                )
             )
         )
-    )
+
+    return let(_found(tags, ("diameter", "trunk:diameter")), choose)
 
 
 def trunk_height(height: Column, base_fraction: Column) -> Column:

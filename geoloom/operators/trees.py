@@ -250,7 +250,7 @@ def _ring_point(cx: Column, cy: Column, radius: Column, index: Column, segments:
 
 
 def _tri(label: Column, *points: tuple[Column, Column, Column]) -> Column:
-    cols = [label.alias("region")]
+    cols = [label.alias("surface")]
     for p, name in zip(points, "abc"):
         cols += [v.cast("double").alias(f"{name}{axis}") for v, axis in zip(p, "xyz")]
     return F.struct(*cols)
