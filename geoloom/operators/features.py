@@ -16,7 +16,15 @@ from geoloom.operators.classify import DEFAULT_RULES, Rule, classify, skip_reaso
 from geoloom.params import Region
 from geoloom.schemas import PARTS_DDL
 
-PAIRS = T.ArrayType(T.ArrayType(T.DoubleType()))
+# Rings cross into Python as flat coordinate arrays with ring lengths.
+FLAT_RINGS = T.StructType(
+    [
+        T.StructField("xs", T.ArrayType(T.DoubleType())),
+        T.StructField("ys", T.ArrayType(T.DoubleType())),
+        T.StructField("lens", T.ArrayType(T.IntegerType())),
+        T.StructField("part", T.ArrayType(T.IntegerType())),
+    ]
+)
 
 
 def merge_batches(batches: DataFrame) -> DataFrame:
@@ -106,18 +114,54 @@ def _join_segments(segments: list) -> list:
     return rings
 
 
-@F.pandas_udf(T.ArrayType(PAIRS))
-def assemble_rings(segments: pd.Series) -> pd.Series:
-    """Closed rings from the member segments of one relation (``array<array<[x, y]>>``)."""
-    return segments.map(lambda s: None if s is None else [[list(p) for p in ring] for ring in _join_segments(list(s))])
+def _unflatten(xs, ys, lens) -> list[list[tuple[float, float]]]:
+    points = list(zip(xs, ys))
+    out, at = [], 0
+    for n in lens:
+        out.append(points[at : at + n])
+        at += n
+    return out
+
+
+def _flat_frame(parts_per_row: list[list[list[list]]]) -> pd.DataFrame:
+    """Rows of parts (each a list of rings) in flat form."""
+    rows = []
+    for parts in parts_per_row:
+        rings = [(k, r) for k, part in enumerate(parts) for r in part]
+        points = [p for _, r in rings for p in r]
+        rows.append(([p[0] for p in points], [p[1] for p in points], [len(r) for _, r in rings], [k for k, _ in rings]))
+    return pd.DataFrame(rows, columns=["xs", "ys", "lens", "part"])
 
 
-def _as_pairs(segments: Column) -> Column:
-    return F.transform(segments, lambda s: F.transform(s, lambda v: F.array(v["x"], v["y"])))
+@F.pandas_udf(FLAT_RINGS)
+def _assemble(xs: pd.Series, ys: pd.Series, lens: pd.Series) -> pd.DataFrame:
+    return _flat_frame([[_join_segments(_unflatten(*row))] for row in zip(xs, ys, lens)])
 
 
-def _as_rings(rings: Column) -> Column:
-    return F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
+def flat_rings(rings: Column) -> tuple[Column, Column, Column]:
+    """``array<array<struct<x,y>>>`` as flat coordinates and ring lengths."""
+    axis = lambda name: F.transform(F.flatten(rings), lambda v: v[name])
+    return axis("x"), axis("y"), F.transform(rings, lambda r: F.size(r))
+
+
+def _inflate(flat: Column) -> Column:
+    """Flat rings back to ``array<array<struct<x,y>>>``."""
+
+    def ring(f: Column, n: Column, i: Column) -> Column:
+        return M.let(
+            F.aggregate(F.slice(f["lens"], 1, i), F.lit(0), lambda acc, k: acc + k),
+            lambda at: F.transform(
+                F.sequence(F.lit(0), n - 1),
+                lambda j: F.struct(F.get(f["xs"], at + j).alias("x"), F.get(f["ys"], at + j).alias("y")),
+            ),
+        )
+
+    return M.let(flat, lambda f: F.transform(f["lens"], lambda n, i: ring(f, n, i)))
+
+
+def assemble_rings(segments: Column) -> Column:
+    """Closed rings from the member segments of one relation."""
+    return _inflate(_assemble(*flat_rings(segments)))
 
 
 def relation_parts(outer: Column, inner: Column) -> Column:
@@ -166,8 +210,8 @@ def element_geometry(elements: DataFrame, category: str = "category") -> DataFra
     relations = df.where("type = 'relation'").withColumns({"_outer_seg": member("outer"), "_inner_seg": member("inner")})
     relations = relations.withColumns(
         {
-            "_outer": _as_rings(assemble_rings(_as_pairs(F.col("_outer_seg")))),
-            "_inner": _as_rings(assemble_rings(_as_pairs(F.col("_inner_seg")))),
+            "_outer": assemble_rings(F.col("_outer_seg")),
+            "_inner": assemble_rings(F.col("_inner_seg")),
         }
     )
     road_line = road & (F.size("_outer_seg") == 1) & (F.size("_inner_seg") == 0)
@@ -416,17 +460,23 @@ def _nest(rings: list) -> list:
     ]
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(PAIRS)))
-def nest_rings(rings: pd.Series) -> pd.Series:
-    """Rings of one record (``array<array<[x, y]>>``) to parts; a record's rings are independent of all others."""
-    return rings.map(
-        lambda rs: None
-        if rs is None
-        else [[[list(p) for p in r] for r in part] for part in _nest([[tuple(p) for p in r] for r in rs])]
-    )
+@F.pandas_udf(FLAT_RINGS)
+def _nested(xs: pd.Series, ys: pd.Series, lens: pd.Series) -> pd.DataFrame:
+    return _flat_frame([_nest(_unflatten(*row)) for row in zip(xs, ys, lens)])
 
 
-def pairs_to_parts(pairs: Column) -> Column:
-    return F.transform(pairs, lambda part: _as_rings(part)).cast(PARTS_DDL)
+def nest_rings(xs: Column, ys: Column, lens: Column) -> Column:
+    """Rings of one record, in flat form, to ``parts``; a record's rings are independent of all others."""
 
+    def grouped(f: Column) -> Column:
+        rings = _inflate(f)
+        numbered = F.zip_with(rings, f["part"], lambda r, k: F.struct(r.alias("ring"), k.alias("part")))
+        return M.let(
+            numbered,
+            lambda rs: F.transform(
+                F.array_distinct(F.transform(rs, lambda r: r["part"])),
+                lambda k: F.transform(F.filter(rs, lambda r: r["part"] == k), lambda r: r["ring"]),
+            ),
+        )
 
+    return M.let(_nested(xs, ys, lens), grouped).cast(PARTS_DDL)

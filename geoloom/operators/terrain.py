@@ -100,7 +100,7 @@ def convex_hull(triangles: DataFrame, *, on: Sequence[str] = (), cell: float = 6
         grid = [F.floor(F.col("x") / size).alias("_hx"), F.floor(F.col("y") / size).alias("_hy")]
         points = points.groupBy(*keys, *grid).applyInPandas(corners, schema)
         size *= 64.0
-    last = points.groupBy(*keys) if keys else points.groupBy(F.lit(0))
+    last = points.groupBy(*keys) if keys else points.withColumn("_all", F.lit(0)).groupBy("_all")
     ordered = ", ".join(t for t in (key_types, "hull array<struct<x:double,y:double>>") if t)
 
     def ring(pdf: pd.DataFrame) -> pd.DataFrame:

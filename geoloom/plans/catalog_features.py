@@ -534,19 +534,22 @@ def element_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relation_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rectangles split into four unordered, partly reversed segments, some with an inner square."""
     df = view(spark, sf_dir, "fx_rects")
-    p = lambda x, y: F.array(F.col(x), F.col(y))
+    v = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    p = lambda x, y: v(F.col(x), F.col(y))
     outer = F.array(
         F.array(p("x1", "y1"), p("x1", "y0")),
         F.array(p("x0", "y0"), p("x1", "y0")),
         F.array(p("x0", "y1"), p("x0", "y0")),
         F.array(p("x1", "y1"), p("x0", "y1")),
     )
-    q = lambda dx, dy: F.array(F.col("x0") + dx, F.col("y0") + dy)
+    q = lambda dx, dy: v(F.col("x0") + dx, F.col("y0") + dy)
+    none = F.array().cast("array<array<struct<x:double,y:double>>>")
     inner = F.when(
         F.col("seq") % 2 == 0, F.array(F.array(q(1, 1), q(2, 1), q(2, 2)), F.array(q(1, 1), q(1, 2), q(2, 2)))
-    ).otherwise(F.array().cast("array<array<array<double>>>"))
-    rings = df.withColumns({"_o": FT.assemble_rings(outer), "_i": FT.assemble_rings(inner)})
-    rings = rings.withColumn("parts", FT.relation_parts(FT._as_rings(F.col("_o")), FT._as_rings(F.col("_i"))))
+    ).otherwise(none)
+    segments = df.withColumns({"_os": outer, "_is": inner})
+    rings = segments.withColumns({"_o": FT.assemble_rings(F.col("_os")), "_i": FT.assemble_rings(F.col("_is"))})
+    rings = rings.withColumn("parts", FT.relation_parts(F.col("_o"), F.col("_i")))
     return rings.select(
         "region",
         "seq",
@@ -565,13 +568,15 @@ def ring_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three nested rings per record: shell, hole of four square metres, island of one."""
     df = view(spark, sf_dir, "fx_rects")
 
+    v = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
     def square(lo: float, hi: float) -> Column:
-        v = lambda dx, dy: F.array(F.col("x0") + dx, F.col("y0") + dy)
-        return F.array(v(lo, lo), v(hi, lo), v(hi, hi), v(lo, hi), v(lo, lo))
+        at = lambda dx, dy: v(F.col("x0") + dx, F.col("y0") + dy)
+        return F.array(at(lo, lo), at(hi, lo), at(hi, hi), at(lo, hi), at(lo, lo))
 
-    e = lambda x, y: F.array(F.col(x), F.col(y))
-    shell = F.array(e("x0", "y0"), e("x1", "y0"), e("x1", "y1"), e("x0", "y1"), e("x0", "y0"))
-    parts = FT.pairs_to_parts(FT.nest_rings(F.array(square(1.5, 2.5), shell, square(1.0, 3.0))))
+    shell = F.get(F.get(M.box_parts(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")), F.lit(0)), F.lit(0))
+    df = df.withColumn("rings", F.array(square(1.5, 2.5), shell, square(1.0, 3.0)))
+    parts = FT.nest_rings(*FT.flat_rings(F.col("rings")))
     return df.select("region", "seq", parts.alias("parts")).select(
         "region",
         "seq",

@@ -12,7 +12,10 @@ from geoloom.functions import measure as M
 from geoloom.schemas import ELEMENT, PARTS_DDL
 
 _STRUCT = T.StructType
-_EXTRACT = _STRUCT([T.StructField("elements", T.ArrayType(ELEMENT)), T.StructField("_corrupt", T.StringType())])
+# Elements stay JSON text at first, so that one odd entry cannot spoil its file.
+_EXTRACT = _STRUCT(
+    [T.StructField("elements", T.ArrayType(T.StringType())), T.StructField("_corrupt", T.StringType())]
+)
 
 _FEATURE = _STRUCT(
     [
@@ -51,8 +54,9 @@ def read_elements(spark: SparkSession, path) -> DataFrame:
     by file name, so the numbering does not depend on scan order.
     """
     files = _json_files(spark, path, _EXTRACT)
-    rows = files.select("source", F.posexplode("elements").alias("pos", "e"))
-    return rows.select("source", "pos", "e.*").withColumn("batch", F.col("source"))
+    rows = files.select("source", F.posexplode("elements").alias("pos", "text"))
+    parsed = rows.withColumn("e", F.from_json("text", ELEMENT)).select("source", "pos", "e.*")
+    return parsed.withColumn("batch", F.col("source"))
 
 
 def broken_extracts(spark: SparkSession, path) -> DataFrame:

@@ -13,7 +13,7 @@ BLOCK = 100_000
 
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Stripped non-empty lines with their number: ``path, line_no, line``."""
-    files = spark.read.option("wholetext", True).text(path).withColumn("path", F.col("_metadata.file_path"))
+    files = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
     rows = files.select("path", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "raw"))
     return rows.select("path", F.col("line_no").cast("bigint").alias("line_no"), A.strip(F.col("raw")).alias("line")).where(
         "line <> ''"

@@ -17,7 +17,7 @@ HEADER_LINES = 6
 def _grids(spark: SparkSession, path) -> DataFrame:
     """One row per grid file (any upper/lower case of the suffix)."""
     files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .withColumn("path", F.col("_metadata.file_path"))
         .withColumn("tile", F.element_at(F.split("path", "/"), -1))
     )

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.operators.features import nest_rings, pairs_to_parts
+from geoloom.operators.features import nest_rings
 
 # Layout of the shapefile format.
 FILE_CODE, VERSION, HEADER = 9994, 1000, 100
@@ -114,16 +114,21 @@ def read_polygons(spark: SparkSession, path) -> DataFrame:
             for file, data in zip(batch["file"], batch["content"]):
                 problem = _header_error(data, POLYGON_TYPES)
                 if problem:
-                    rows.append((file, -1, -1, [], problem))
+                    rows.append((file, -1, -1, [], [], [], problem))
                     continue
                 for i, (number, content) in enumerate(_records(data)):
                     rings, error = (None, "truncated file") if content is None else _polygon_rings(content)
-                    rows.append((file, i, number, rings or [], error))
-            yield pd.DataFrame(rows, columns=["file", "shape_index", "record_number", "rings", "error"])
+                    points = [p for r in rings or [] for p in r]
+                    xs, ys = [p[0] for p in points], [p[1] for p in points]
+                    rows.append((file, i, number, xs, ys, [len(r) for r in rings or []], error))
+            yield pd.DataFrame(rows, columns=["file", "shape_index", "record_number", "xs", "ys", "lens", "error"])
 
-    schema = "file string, shape_index bigint, record_number bigint, rings array<array<array<double>>>, error string"
+    schema = (
+        "file string, shape_index bigint, record_number bigint, xs array<double>, ys array<double>, lens array<int>, "
+        "error string"
+    )
     raw = _files(spark, path, "shp").mapInPandas(decode, schema)
-    return raw.withColumn("parts", pairs_to_parts(nest_rings("rings"))).drop("rings")
+    return raw.withColumn("parts", nest_rings(F.col("xs"), F.col("ys"), F.col("lens"))).drop("xs", "ys", "lens")
 
 
 def read_points(spark: SparkSession, path) -> DataFrame:
