@@ -60,26 +60,69 @@ def line_distance(line: Column, px: Column, py: Column) -> Column:
     return let(line, measured)
 
 
-def ring_distance(ring: Column, px: Column, py: Column) -> Column:
-    """Distance to a closed ring (the last vertex joins the first); infinity below two vertices."""
+# The predicates below are SQL text over column names: they sit in the inner loop of every spatial join, and one
+# parsed expression is far cheaper to build than hundreds of column calls.
 
 
-    def measured(r: Column) -> Column:
-        n = F.size(r)
-        return F.when(n < 2, F.lit(INF)).otherwise(
-            F.aggregate(
-                F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                F.lit(INF),
-                lambda acc, i: F.least(acc, _segment_distance(px, py, F.get(r, i - 1), F.get(r, F.pmod(i, n)))),
-            )
-        )
+def _ends(ring: str) -> tuple[str, str]:
+    return f"get({ring}, i - 1)", f"get({ring}, pmod(i, size({ring})))"
 
-    return let(ring, measured)
 
+def _steps(ring: str) -> str:
+    return f"sequence(1, greatest(size({ring}), 1))"
+
+
+def _ring_near(ring: str, x: str, y: str, limit: float) -> str:
+    """Some edge of the closed ring lies within ``limit``; the edge's box is tested before its distance."""
+    a, b = _ends(ring)
+    dx, dy = f"({b}.x - {a}.x)", f"({b}.y - {a}.y)"
+    t = (
+        f"greatest(0D, least(1D, coalesce(try_divide(({x} - {a}.x) * {dx} + ({y} - {a}.y) * {dy}, "
+        f"{dx} * {dx} + {dy} * {dy}), 0D)))"
+    )
+    d = f"{limit!r}D"
+    return (
+        f"exists({_steps(ring)}, i -> size({ring}) >= 2"
+        f" and {x} >= least({a}.x, {b}.x) - {d} and {x} <= greatest({a}.x, {b}.x) + {d}"
+        f" and {y} >= least({a}.y, {b}.y) - {d} and {y} <= greatest({a}.y, {b}.y) + {d}"
+        f" and hypot({x} - ({a}.x + {t} * {dx}), {y} - ({a}.y + {t} * {dy})) <= {d})"
+    )
+
+
+def _ring_covers(ring: str, x: str, y: str) -> str:
+    """Half-open ray cast: an edge counts when it straddles ``y`` and crosses right of ``x``."""
+    a, b = _ends(ring)
+    crosses = (
+        f"({b}.y > {y}) <> ({a}.y > {y})"
+        f" and {x} < try_divide(({a}.x - {b}.x) * ({y} - {b}.y), {a}.y - {b}.y) + {b}.x"
+    )
+    return f"(size({ring}) >= 3 and pmod(size(filter({_steps(ring)}, i -> {crosses})), 2) = 1)"
+
+
+BOUNDARY_EPS = 1e-9
+
+
+def point_in_polygon(polygon: str, x: str, y: str) -> Column:
+    """Containment with boundaries inside: shell edge in, strict hole interior out, hole edge in."""
+    shell = f"get({polygon}, 0)"
+    hole = (
+        f"case when acc is not null then acc when {_ring_near('h', x, y, BOUNDARY_EPS)} then true"
+        f" when {_ring_covers('h', x, y)} then false end"
+    )
+    holes = f"aggregate(slice({polygon}, 2, size({polygon})), cast(null as boolean), (acc, h) -> {hole})"
+    return F.expr(
+        f"case when {_ring_near(shell, x, y, BOUNDARY_EPS)} then true when not {_ring_covers(shell, x, y)} then false"
+        f" when size({polygon}) = 1 then true else coalesce({holes}, true) end"
+    )
+
+
+def near_boundary(polygon: str, x: str, y: str, limit: float) -> Column:
+    """Some ring (holes included) passes within ``limit``."""
+    return F.expr(f"exists({polygon}, r -> {_ring_near('r', x, y, float(limit))})")
 
-def point_in_ring(ring: Column, px: Column, py: Column) -> Column:
-    """Half-open ray cast: an edge counts when it straddles ``py`` and crosses right of ``px``."""
 
+def point_in_ring(ring: Column, px: Column, py: Column) -> Column:
+    """The ray cast of :func:`point_in_polygon` for ring columns, without the boundary rule."""
 
     def inside(r: Column) -> Column:
         n = F.size(r)
@@ -96,36 +139,6 @@ def point_in_ring(ring: Column, px: Column, py: Column) -> Column:
     return let(ring, inside)
 
 
-BOUNDARY_EPS = 1e-9
-
-
-def point_in_polygon(polygon: Column, px: Column, py: Column) -> Column:
-    """Containment with boundaries inside: shell edge in, strict hole interior out, hole edge in."""
-    shell = F.get(polygon, F.lit(0))
-    holes = F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(0)))
-
-    def on_edge(ring: Column) -> Column:
-        return ring_distance(ring, px, py) <= BOUNDARY_EPS
-
-    first_hole_verdict = F.aggregate(
-        holes,
-        F.lit(None).cast("boolean"),
-        lambda acc, hole: F.when(acc.isNotNull(), acc)
-        .when(on_edge(hole), F.lit(True))
-        .when(point_in_ring(hole, px, py), F.lit(False)),
-    )
-    return (
-        F.when(on_edge(shell), F.lit(True))
-        .when(~point_in_ring(shell, px, py), F.lit(False))
-        .otherwise(F.coalesce(first_hole_verdict, F.lit(True)))
-    )
-
-
-def polygon_boundary_distance(polygon: Column, px: Column, py: Column) -> Column:
-    """Distance to the nearest ring, holes included."""
-    return F.aggregate(polygon, F.lit(INF), lambda acc, ring: F.least(acc, ring_distance(ring, px, py)))
-
-
 # --- scalar measures --------------------------------------------------------
 
 

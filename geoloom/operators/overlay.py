@@ -96,9 +96,12 @@ def route_to_tiles(
     left = F.greatest("_xa", "_xb") <= F.col("tx0")
     right = F.least("_xa", "_xb") >= F.col("tx1")
     pushed = lambda x: F.when(left, F.col("tx0")).when(right, F.col("tx1")).otherwise(F.col(x))
-    return cut.withColumns({"ax": pushed("_xa"), "ay": F.col("_ya"), "bx": pushed("_xb"), "by": F.col("_yb")}).drop(
+    placed = cut.withColumns({"ax": pushed("_xa"), "ay": F.col("_ya"), "bx": pushed("_xb"), "by": F.col("_yb")}).drop(
         *EDGE_BOX, "_ya", "_yb", "_xa", "_xb"
     )
+    # The sweep is heavy per byte, so its tasks keep the configured parallelism instead of being coalesced by size.
+    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.repartition(width, *on, *TILE_KEYS)
 
 
 def _tile_of(pdf: pd.DataFrame) -> tuple[float, float, float, float]:

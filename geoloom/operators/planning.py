@@ -29,24 +29,34 @@ def _numeric_json(text: Column) -> Column:
 def _parsed(properties: Column) -> Column:
     """Typed fields and structural flags of one property map."""
 
-    def lowered(entries: Column) -> Column:
+    def by_key(entries: Column) -> Column:
         folded = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-        return M.let(folded, fields)
+        return M.let(folded, lambda es: M.let(_first_by_key(es), lambda m: fields(m, F.size(es))))
 
-    def fields(es: Column) -> Column:
-        keys = F.transform(es, lambda e: e["key"])
-        raw = lambda name: F.get(F.filter(es, lambda e: e["key"] == name), F.lit(0))["value"]
+    def fields(m: Column, given: Column) -> Column:
+        raw = lambda name: F.try_element_at(m, F.lit(name))
         quoted = lambda name: F.when(
             raw(name).startswith('"'), A.strip(F.regexp_replace(raw(name), '^"|"$', ""))
         )
         return F.struct(
-            F.array_distinct(keys).alias("keys"),
-            (F.size(F.array_distinct(keys)) != F.size(keys)).alias("repeated"),
+            F.map_keys(m).alias("keys"),
+            (F.size(m) != given).alias("repeated"),
             *[quoted(name).alias(name) for name in ("id", "kind", "model")],
             *[_numeric_json(raw(name)).alias(name) for name in ALL_DIMENSIONS],
         )
 
-    return M.let(F.map_entries(properties), lowered)
+    return M.let(F.map_entries(properties), by_key)
+
+
+def _first_by_key(entries: Column) -> Column:
+    """Map of the first entry per key."""
+    keys = lambda es: F.transform(es, lambda e: e["key"])
+    return M.let(
+        keys(entries),
+        lambda ks: F.map_from_entries(
+            F.filter(entries, lambda e, i: F.array_position(ks, e["key"]) == (i + 1).cast("bigint"))
+        ),
+    )
 
 
 def _problems(p: Column) -> Column:

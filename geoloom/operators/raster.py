@@ -24,7 +24,6 @@ from geoloom.operators.spatial import (
     distinct_polygons,
     footprint_hits,
     near_tag_points,
-    points_in_polygons,
 )
 
 Bbox = tuple[float, float, float, float]
@@ -370,7 +369,7 @@ def zonal_heights(
         right_box=POLY_BOX,
         cell=P.INDEX_CELL_M,
         on=on,
-        residual=M.point_in_polygon(F.col("polygon"), F.col("x"), F.col("y")),
+        residual=M.point_in_polygon("polygon", "x", "y"),
         left_id=("cell_x", "cell_y"),
         right_id=[k for k in key if k not in on],
     )
@@ -435,13 +434,26 @@ def alignment(
     sample = stride_sample(candidates, target, order=order, by=list(on))
     steps = F.sequence(F.lit(-radius), F.lit(radius))
     ids = list(dict.fromkeys([*on, *key]))
+    # Offsets are tried only for point-polygon pairs that some offset can bring together.
+    pairs = box_join(
+        sample.select(*ids, "x", "y"),
+        distinct_polygons(polygons, on),
+        left_box=("x", "y"),
+        right_box=POLY_BOX,
+        cell=P.INDEX_CELL_M,
+        on=on,
+        pad=float(radius),
+        left_id=key,
+    )
     moved = (
-        sample.select(*ids, "x", "y")
-        .withColumn("dx", F.explode(steps))
+        pairs.withColumn("dx", F.explode(steps))
+        .withColumn("mx", F.col("x") - F.col("dx"))
+        .where("mx >= px0 and mx <= px1")
         .withColumn("dy", F.explode(steps))
-        .withColumns({"x": F.col("x") - F.col("dx"), "y": F.col("y") - F.col("dy")})
+        .withColumn("my", F.col("y") - F.col("dy"))
+        .where("my >= py0 and my <= py1")
     )
-    hits = points_in_polygons(moved, polygons, on=on, point_id=[*ids, "dx", "dy"])
+    hits = moved.where(M.point_in_polygon("polygon", "mx", "my")).select(*ids, "dx", "dy").distinct()
     scores = hits.groupBy(*on, "dx", "dy").agg(F.count("*").alias("score"))
     shift = F.hypot(F.col("dx").cast("double"), F.col("dy").cast("double"))
     best = scores.groupBy(*on).agg(

@@ -214,7 +214,6 @@ def points_in_polygons(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Points inside at least one polygon (boundary in, strict hole interior out)."""
-    px, py = F.col(xy[0]), F.col(xy[1])
     return box_join(
         points,
         distinct_polygons(polygons, on),
@@ -222,7 +221,7 @@ def points_in_polygons(
         right_box=POLY_BOX,
         cell=cell,
         on=on,
-        residual=M.point_in_polygon(F.col("polygon"), px, py),
+        residual=M.point_in_polygon("polygon", *xy),
         how="left_semi",
         left_id=point_id,
         hot_rows=hot_rows,
@@ -243,7 +242,6 @@ def points_near_polygons(
     """Points within ``buffer_m`` of any ring of a polygon; nothing for a non-positive buffer."""
     if buffer_m <= 0.0:
         return points.where(F.lit(False))
-    px, py = F.col(xy[0]), F.col(xy[1])
     return box_join(
         points,
         distinct_polygons(polygons, on),
@@ -252,7 +250,7 @@ def points_near_polygons(
         cell=cell,
         on=on,
         pad=buffer_m,
-        residual=M.polygon_boundary_distance(F.col("polygon"), px, py) <= buffer_m,
+        residual=M.near_boundary("polygon", *xy, buffer_m),
         how="left_semi",
         left_id=point_id,
         hot_rows=hot_rows,
@@ -271,11 +269,8 @@ def footprint_hits(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Points in or near a polygon: ``on, key, inside, near`` from one spatial join (others are absent)."""
-    px, py = F.col(xy[0]), F.col(xy[1])
-    inside = M.point_in_polygon(F.col("polygon"), px, py)
-    near = F.lit(False)
-    if buffer_m > 0.0:
-        near = M.polygon_boundary_distance(F.col("polygon"), px, py) <= buffer_m
+    inside = M.point_in_polygon("polygon", *xy)
+    near = M.near_boundary("polygon", *xy, buffer_m) if buffer_m > 0.0 else F.lit(False)
     pairs = box_join(
         points.select(*dict.fromkeys([*on, *key, *xy])),
         distinct_polygons(polygons, on),

@@ -316,12 +316,12 @@ def polygon_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reference_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interior points lie inside their polygon, also next to a hole."""
     df = holed_parts(spark, sf_dir).withColumn("p", M.reference_point(F.lit("Polygon"), F.col("parts")))
-    box = F.get(F.col("parts"), F.lit(0))
+    df = df.withColumn("polygon", F.get("parts", F.lit(0)))
     plain = F.col("seq") % 5 != 0
     return df.select(
         "region",
         "seq",
-        M.point_in_polygon(box, F.col("p.x"), F.col("p.y")).alias("inside"),
+        M.point_in_polygon("polygon", "p.x", "p.y").alias("inside"),
         F.round(F.when(plain, F.col("p.y")).otherwise((F.col("y0") + F.col("y1")) / 2), 6).alias("y"),
     )
 

@@ -39,6 +39,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         .appName("geoloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small local inputs: keep all cores busy although partitions are tiny.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)

@@ -76,11 +76,11 @@ def test_indexed_containment_equals_every_pair(spark, hot_rows):
     polys = polygons(spark, rows + [(100 + i, g) for i, g in rows[:8]])
     points = spark.createDataFrame([(i, rng.uniform(0, 60), rng.uniform(0, 60)) for i in range(400)], "id int, x double, y double")
     got = {r["id"] for r in S.points_in_polygons(points, polys, cell=6.0, point_id=["id"], hot_rows=hot_rows).collect()}
-    brute = points.crossJoin(polys.select("polygon")).where(M.point_in_polygon(F.col("polygon"), F.col("x"), F.col("y")))
+    brute = points.crossJoin(polys.select("polygon")).where(M.point_in_polygon("polygon", "x", "y"))
     assert got == {r["id"] for r in brute.select("id").distinct().collect()}
     near = {r["id"] for r in S.points_near_polygons(points, polys, cell=6.0, point_id=["id"], hot_rows=hot_rows).collect()}
     brute = points.crossJoin(polys.select("polygon")).where(
-        M.polygon_boundary_distance(F.col("polygon"), F.col("x"), F.col("y")) <= 1.5
+        M.near_boundary("polygon", "x", "y", 1.5)
     )
     assert near == {r["id"] for r in brute.select("id").distinct().collect()}
 
