@@ -1,8 +1,9 @@
 """End-to-end plans: features, point clouds, instances, review and city-model data.
 
-Each function wires operators into one lazy plan and returns its DataFrames;
-nothing is collected. Write intermediate results with the sinks (or Parquet)
-between plans, as one would between jobs.
+Each function wires operators into a plan and returns its DataFrames; nothing
+is collected. Tables that several results read (features, classified cells,
+instances) are checkpointed once in the shared folder, so no result repeats the
+work before them and a lost executor does not either.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from geoloom.operators import spatial as S
 from geoloom.operators import terrain as TR
 from geoloom.operators import trees as TE
 from geoloom.operators.classify import DEFAULT_PRECEDENCE, DEFAULT_RULES, Rule
+from geoloom.operators.skew import cut_lineage
 from geoloom.params import MIN_SURFACE_M2, Region
 from geoloom.sources import geojson as G
 from geoloom.sources import rasters as RA
@@ -64,6 +66,7 @@ def plan_features(
     (surfaces unclipped, lon/lat ``parts``); ``planning`` is normalized.
     """
     every = FT.elements_to_features(elements, region, rules)
+    every = cut_lineage(every)
     rejected = every.where("skip_reason is not null")
     accepted = every.where("skip_reason is null").drop("skip_reason")
     sources = [accepted]
@@ -88,13 +91,15 @@ def plan_features(
     if surface_polygons is not None:
         sources.append(clip_surfaces(surface_polygons, region))
     union = FT.union_sources(*sources).withColumn("seq", F.col("source_no") * F.lit(SOURCE_STRIDE) + F.col("seq"))
+    union = cut_lineage(union)
 
     planar = union.where("contributes_to_geometry").select(
         "seq", "category", "group_tag",
         F.col("supplemental_input_id") if "supplemental_input_id" in union.columns else F.lit(None).cast("string").alias("supplemental_input_id"),
         C.localize_parts(F.col("parts"), region).alias("parts"),
     )
-    surfaces = OV.partition_surfaces(OV.precedence_rank(planar, precedence))
+    planar = cut_lineage(planar)
+    surfaces = cut_lineage(OV.partition_surfaces(OV.precedence_rank(planar, precedence)))
     one = union.sparkSession.range(1).select()
     gaps = OV.gap_fill(planar.select("seq", "parts"), one, region=region)
     states = surfaces.select("seq", "state", "area_m2", F.col("removed_area_m2").alias("overlap_removed_area_m2"))
@@ -165,6 +170,7 @@ def plan_point_cloud(
     classified = R.classify_cells(
         cells, polygons, bbox=bbox, relief_cells=R.relief_radius_cells(cellsize), canopy=canopy, tags=tags
     )
+    classified = cut_lineage(classified)
     with_evidence = classified if canopy is not None else classified.withColumn("relief", F.lit(0.0))
     # Sampling order of the alignment check: tiles in name order, then rows and columns.
     tall = O.blocked_ordinal(
@@ -209,6 +215,7 @@ def plan_trees(
         sampled = TR.sample_terrain(points, terrain, key=["seq"], xy=("px", "py")).select("seq", "terrain_z", "terrain_status")
         df, height = df.join(sampled, "seq"), F.col("terrain_z")
     every = TE.tree_instances(df, models, species_map, default_species=default_species, terrain_z=height)
+    every = cut_lineage(every)
     fine = F.col("model_error").isNull() & F.col("dimension_error").isNull() & F.col("z").isNotNull()
     good = every.where(fine)
     local = lambda mesh: MS.translate(mesh, F.lit(-origin[0]), F.lit(-origin[1]))
@@ -236,6 +243,7 @@ def plan_purifiers(
     placed = PU.resolve(features, catalogue, origin=origin)
     if terrain is not None:
         placed = PU.place_on_terrain(placed, terrain, source=terrain_name)
+    placed = cut_lineage(placed)
     good = placed.where(F.size("errors") == 0)
     ready = good.select(
         "purifier_id", "model", "scale_x", "scale_y", "scale_z", "rotation_deg",
@@ -261,6 +269,7 @@ def plan_city_model(features: DataFrame, cloud: DataFrame, region: Region) -> Ci
     ``cloud``: ``x, y, z, class``.
     """
     metric = features.where(C.lonlat_in_range(F.col("parts"))).withColumn("parts", C.project_parts(F.col("parts")))
+    metric = cut_lineage(metric)
     center = C.utm32_of(region.center_lon, region.center_lat)
     layers, counts = OV.surface_layers(metric.select("seq", "category", "parts"), region=region, center=center)
     footprints = metric.where("category = 'buildings'")
@@ -277,6 +286,7 @@ def plan_city_model(features: DataFrame, cloud: DataFrame, region: Region) -> Ci
         (F.col("seq") * 1000 + F.col("polygon_no")).alias("building"), "seq", "base_z", "top_z",
         raised.alias("roof_raise"), F.array("polygon").alias("parts"),
     )
+    buildings = cut_lineage(buildings)
     mesh = MS.extrude_buildings(buildings, ["building"], seq="building")
     return CityModelPlan(layers, counts, check.summary(), check.top(), buildings, mesh)
 
