@@ -635,7 +635,8 @@ def mesh_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "scene_focus",
     ctes("fx_cells", extra=LATTICE_CTES)
-    + "select region, round(avg((ax + bx + cx) / 3), 3) as focus_x, round(avg((ay + by_ + cy) / 3), 3) as focus_y from tri where tile in (2, 3) group by 1",
+    + "select region, round(coalesce(avg((ax + bx + cx) / 3) filter (where tile in (2, 3)), avg((ax + bx + cx) / 3)), 3) as focus_x,"
+    " round(coalesce(avg((ay + by_ + cy) / 3) filter (where tile in (2, 3)), avg((ay + by_ + cy) / 3)), 3) as focus_y from tri group by 1",
 )
 def scene_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("tile").isin(2, 3), "building").otherwise("terrain")
