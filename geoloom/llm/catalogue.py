@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geoloom.llm import query_packing, query_simhash  # noqa: F401
+from geoloom.llm import query_linecrf, query_packing, query_simhash  # noqa: F401
 from geoloom.llm.registry import ORACLES, QUERIES
 
 

@@ -34,7 +34,7 @@ from geoloom.llm.common import free_name, prefix_offsets, written
 CAPACITY = 1024
 END_ID = 2
 #: Rows of one length that share a block of the rank computation.
-RANK_BLOCK = 50_000
+RANK_BLOCK = 4_096
 #: Texts in these scripts take the fast encoder; all others go to the tokenizer of the file itself.
 FAST_TEXT = re.compile(r"[^\x00-ɏ]")
 
