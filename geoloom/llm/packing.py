@@ -127,16 +127,28 @@ def token_pieces(
 
 
 def pack_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Bins as (piece lengths, number of equal bins), by best-two-fit over the histogram ``counts``."""
-    left = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in counts.items():
+    """Bins as (piece lengths, number of equal bins), by best-two-fit over the histogram ``counts``.
+
+    Swaps spend short pieces early, which costs bins where many pieces are
+    longer than half a bin. Planning works on at most ``capacity`` counts, so it
+    is done three times: with every swap that narrows a gap, with those that
+    close it, and with none; the plan of fewest bins counts, the first of equals.
+    """
+    for length in counts:
         if not 1 <= length <= capacity:
             raise ValueError(f"piece of {length} tokens does not fit {capacity}")
+    plans = [_planned(counts, capacity, gap) for gap in (capacity, 0, -1)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _planned(counts: dict[int, int], capacity: int, gap: int) -> list[tuple[list[int], int]]:
+    """One plan; swaps may leave a gap of at most ``gap``."""
+    left = np.zeros(capacity + 1, dtype=np.int64)
+    for length, n in counts.items():
         left[length] += n
     bins = []
     while left.any():
-        items = _greedy(left, capacity)
-        items = _two_for_smallest(items, left, capacity)
+        items = _two_for_smallest(_greedy(left, capacity), left, capacity, gap)
         used = np.bincount(items, minlength=capacity + 1)
         times = int((left[used > 0] // used[used > 0]).min())
         left -= used * times
@@ -156,11 +168,11 @@ def _greedy(left: np.ndarray, capacity: int) -> list[int]:
         free -= int(fits[-1])
 
 
-def _two_for_smallest(items: list[int], left: np.ndarray, capacity: int) -> list[int]:
-    """Swap the smallest piece of a bin for the two unpacked pieces that leave the least gap, while that helps."""
+def _two_for_smallest(items: list[int], left: np.ndarray, capacity: int, most: int) -> list[int]:
+    """Swap the smallest piece of a bin for the two unpacked pieces that leave the least gap, at most ``most``, while that helps."""
     while True:
         gap = capacity - sum(items)
-        if gap == 0:
+        if gap == 0 or most < 0:
             return items
         smallest = min(items)
         kept = items.copy()
@@ -176,7 +188,7 @@ def _two_for_smallest(items: list[int], left: np.ndarray, capacity: int) -> list
                 best = max(best, (a + int(partners[-1]), a, int(partners[-1])))
             if best[0] == room:
                 break
-        if best[0] <= smallest:
+        if best[0] <= smallest or room - best[0] > most:
             return items
         items = [*kept, best[2], best[1]]
 
