@@ -53,32 +53,30 @@ def scattered(docs: DataFrame, *, key: str = "doc_id", text: str = "text", seed:
     return written(rows, "scatter")
 
 
-def shuffled(rows: DataFrame, *, seed: int = SEED) -> DataFrame:
-    """Pass 2: every bucket of ``scattered`` in a random order; ``position`` counts within the bucket."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("position", T.LongType())])
-    names = rows.columns
+def shuffled(rows: DataFrame, *, shards: int, seed: int = SEED) -> DataFrame:
+    """Pass 2: every bucket of ``scattered`` in a random order, dealt out from the place where the bucket begins."""
+    counts = rows.groupBy(F.col("bucket").alias("b")).agg(F.count("*").alias("n"))
+    before = prefix_offsets(counts, [], "b", "n", "position").select("b", "position")
+    # Joined before the grouping, whose shuffle then serves both.
+    placed = rows.join(before, F.col("bucket") == F.col("b")).drop("b")
+    names = [c for c in rows.columns if c not in _OWN]
+    fields = [*(rows.schema[c] for c in names), T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())]
 
     def one(bucket: pa.Table) -> pa.Table:
         own = bucket.sort_by("row_no")
-        own = own.take(pa.array(fisher_yates(own.num_rows, seed, own.column("bucket")[0].as_py())))
-        return own.select(names).append_column("position", pa.array(np.arange(own.num_rows)))
+        place = own.column("position")[0].as_py() + np.arange(own.num_rows)
+        own = own.take(pa.array(fisher_yates(own.num_rows, seed, own.column("bucket")[0].as_py()))).select(names)
+        own = own.append_column("shard", pa.array((place % shards).astype(np.int32)))
+        return own.append_column("slot", pa.array(place // shards))
 
-    return rows.groupBy("bucket").applyInArrow(one, schema)
+    return placed.groupBy("bucket").applyInArrow(one, T.StructType(fields))
 
 
 def shard(docs: DataFrame, *, shards: int = 16, key: str = "doc_id", text: str = "text", seed: int = SEED,
           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` plus ``shard`` (0 to shards - 1) and ``slot`` (place in the shard, from 0)."""
     rows = scattered(docs, key=key, text=text, seed=seed, bucket_bytes=bucket_bytes)
-    counts = rows.groupBy(F.col("bucket").alias("b")).agg(F.count("*").alias("n"))
-    before = prefix_offsets(counts, [], "b", "n", "before").select("b", "before")
-    place = F.col("before") + F.col("position")
-    placed = shuffled(rows, seed=seed).join(before, F.col("bucket") == F.col("b"))
-    return placed.select(
-        *[c for c in rows.columns if c not in _OWN],
-        F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
-        F.floor(place / shards).cast("bigint").alias("slot"),
-    )
+    return shuffled(rows, shards=shards, seed=seed)
 
 
 def write_shards(docs: DataFrame, path: str, *, shards: int = 16, **options) -> DataFrame:
