@@ -144,9 +144,12 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matched_windows(docs: DataFrame, min_words: int) -> DataFrame:
-    """``id, row, first, last, a, b``: the windows around repeated fingerprints (``at``) with a 128-bit hash of their lines."""
+    """``id, row, first, last, a, b, again``: the windows around repeated fingerprints (``at``) with a 128-bit hash of their lines.
+
+    ``again`` marks windows whose lines occur earlier in the same document.
+    """
     kinds = [T.StructField(n, T.LongType()) for n in ("first", "last", "a", "b")]
-    schema = T.StructType([docs.schema["id"], docs.schema["row"], *kinds])
+    schema = T.StructType([docs.schema["id"], docs.schema["row"], *kinds, T.StructField("again", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,8 +165,10 @@ def _matched_windows(docs: DataFrame, min_words: int) -> DataFrame:
             place = spans - own.starts[doc][:, None]
             keys = [c.take(pa.array(doc)) for c in batch.columns[:2]]
             halves = np.frombuffer(found, np.int64).reshape(-1, 2)
-            cols = [pa.array(np.ascontiguousarray(c)) for c in (place[:, 0], place[:, 1], halves[:, 0], halves[:, 1])]
-            yield pa.RecordBatch.from_arrays([*keys, *cols], names=["id", "row", "first", "last", "a", "b"])
+            again = np.ones(len(spans), bool)
+            again[np.unique(np.column_stack([doc, halves]), axis=0, return_index=True)[1]] = False
+            cols = [pa.array(np.ascontiguousarray(c)) for c in (place[:, 0], place[:, 1], halves[:, 0], halves[:, 1], again)]
+            yield pa.RecordBatch.from_arrays([*keys, *cols], names=["id", "row", "first", "last", "a", "b", "again"])
 
     return docs.select("id", "row", "hashes", "words", "at").mapInArrow(run, schema)
 
@@ -177,14 +182,17 @@ def repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     own = written(_hashed_lines(named.where("text is not null"), min_words), "lines")
     marks = own.select("id", "row", F.explode("marks").alias("at"), "hashes")
     marks = marks.select("id", "row", "at", F.get("hashes", F.col("at")).alias("h"))
-    twice = marks.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    hits = marks.join(twice, "h").groupBy("id", "row").agg(F.collect_list("at").alias("at"))
+    # The extra join key gives both sides a shuffle of their own, so that a frequent hash can be split among tasks.
+    twice = marks.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.hash("h").alias("k"), "h")
+    hits = marks.withColumn("k", F.hash("h")).join(twice, ["k", "h"]).groupBy("id", "row").agg(F.collect_list("at").alias("at"))
     same = F.col("l.id").eqNullSafe(F.col("h.id")) & (F.col("l.row") == F.col("h.row"))
     found = own.alias("l").join(hits.alias("h"), same).select("l.id", "l.row", "l.hashes", "l.words", "h.at")
     matched = written(_matched_windows(found, min_words), "windows")
-    place = F.struct("id", "row", "first")
-    origin = matched.groupBy("a", "b").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = matched.join(origin, ["a", "b"]).where(F.struct("id", "row", "first") != F.col("origin"))
+    place, key = F.struct("id", "row", "first"), F.hash("a", "b").alias("k")
+    once = matched.where("not again")
+    origin = once.groupBy("a", "b").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").select(key, "a", "b", "origin")
+    later = once.select("*", key).join(origin, ["k", "a", "b"]).where(place != F.col("origin")).select("id", "row", "first", "last")
+    later = later.unionByName(matched.where("again").select("id", "row", "first", "last"))
     # A span is one number, first * 2^32 + last.
     return later.groupBy("id", "row").agg(F.collect_set(F.shiftleft("first", 32) + F.col("last")).alias("spans"))
 
