@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,30 +88,51 @@ def way_vertices(elements: DataFrame) -> DataFrame:
     ).drop("_looked_up")
 
 
-def _join_segments(segments: list) -> list:
-    """Chain segments end to end into closed rings; open chains are dropped."""
+def _closed_chains(segments: list) -> list:
+    """Closed rings of a set of segments that meet at their ends; what does not close is left out.
+
+    One walk along an index of segment ends: a point met again closes the loop
+    between its two visits, and a dead end gives up its last segment. Every
+    segment is entered once, so the work grows with the number of points.
+    """
+    lines = [[tuple(p) for p in s] for s in segments]
+    at_end: dict[tuple, list[int]] = {}
+    for number, line in enumerate(lines):
+        for end in (line[0], line[-1]):
+            at_end.setdefault(end, []).append(number)
+    for waiting in at_end.values():
+        waiting.reverse()
+    entered = [False] * len(lines)
     rings = []
-    waiting = [[tuple(p) for p in s] for s in segments]
-    while waiting:
-        chain = waiting.pop(0)
-        while chain[0] != chain[-1]:
-            match = next(
-                (i for i, s in enumerate(waiting) if s[0] in (chain[0], chain[-1]) or s[-1] in (chain[0], chain[-1])), None
-            )
-            if match is None:
-                break
-            seg = waiting.pop(match)
-            head, tail = chain[0], chain[-1]
-            if tail == seg[0]:
-                chain = chain + seg[1:]
-            elif tail == seg[-1]:
-                chain = chain + seg[-2::-1]
-            elif head == seg[-1]:
-                chain = seg[:-1] + chain
-            else:
-                chain = seg[:0:-1] + chain
-        if chain[0] == chain[-1] and len(chain) >= 4:
-            rings.append(chain)
+    for first in lines:
+        stops, legs = [first[0]], []
+        visited = {first[0]: 0}
+        while stops:
+            waiting = at_end.get(stops[-1], [])
+            while waiting and entered[waiting[-1]]:
+                waiting.pop()
+            if not waiting:
+                # Dead end: the way back.
+                del visited[stops.pop()]
+                if legs:
+                    legs.pop()
+                continue
+            number = waiting.pop()
+            entered[number] = True
+            leg = lines[number] if lines[number][0] == stops[-1] else lines[number][::-1]
+            goal = leg[-1]
+            if goal not in visited:
+                visited[goal] = len(stops)
+                stops.append(goal)
+                legs.append(leg)
+                continue
+            since = visited[goal]
+            ring = [p for part in [*legs[since:], leg] for p in part[:-1]]
+            for passed in stops[since + 1 :]:
+                del visited[passed]
+            del stops[since + 1 :], legs[since:]
+            if len(ring) >= 3:
+                rings.append([*ring, ring[0]])
     return rings
 
 
@@ -135,7 +157,7 @@ def _flat_frame(parts_per_row: list[list[list[list]]]) -> pd.DataFrame:
 
 @F.pandas_udf(FLAT_RINGS)
 def _assemble(xs: pd.Series, ys: pd.Series, lens: pd.Series) -> pd.DataFrame:
-    return _flat_frame([[_join_segments(_unflatten(*row))] for row in zip(xs, ys, lens)])
+    return _flat_frame([[_closed_chains(_unflatten(*row))] for row in zip(xs, ys, lens)])
 
 
 def flat_rings(rings: Column) -> tuple[Column, Column, Column]:
@@ -415,54 +437,66 @@ def footprint_eligible(geom_type: Column, contributes: Column, lod22: Column) ->
 # Nesting of the rings of one record -----------------------------------------------------
 
 
-def _nest(rings: list) -> list:
-    """Group rings into polygons by even/odd depth; the smallest container is the parent."""
+def _even_odd_groups(rings: list) -> list:
+    """Rings of one record as polygons: shell first, then its holes.
 
-    def area(r):
-        return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1]))) / 2.0
-
-    def probe(r):
-        ys = sorted({p[1] for p in r})
-        mid = (ys[0] + ys[-1]) / 2.0
-        below, above = max(y for y in ys if y <= mid), min((y for y in ys if y > mid), default=ys[-1])
-        y = (below + above) / 2.0
-        xs = sorted(
-            a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1])
-            for a, b in zip(r, r[1:] + r[:1])
-            if (a[1] > y) != (b[1] > y)
-        )
-        width, x = max(((xs[i + 1] - xs[i], (xs[i] + xs[i + 1]) / 2.0) for i in range(0, len(xs) - 1, 2)), default=(0, r[0][0]))
-        return x, y
-
-    def holds(r, p):
-        odd = False
-        for a, b in zip(r, r[1:] + r[:1]):
-            if (a[1] > p[1]) != (b[1] > p[1]) and p[0] < a[0] + (p[1] - a[1]) * (b[0] - a[0]) / (b[1] - a[1]):
-                odd = not odd
-        return odd
-
-    shapes = [(area(r), probe(r), r) for r in rings if len(r) >= 4]
-    shapes = [s for s in shapes if s[0] > 0.0]
-    parent = []
-    for i, (a, p, _) in enumerate(shapes):
-        around = [(b, j) for j, (b, _, r) in enumerate(shapes) if j != i and b > a and holds(r, p)]
-        parent.append(min(around)[1] if around else None)
-    depth = []
-    for i in range(len(shapes)):
-        d, j = 0, parent[i]
-        while j is not None:
-            d, j = d + 1, parent[j]
-        depth.append(d)
+    The depth of a ring is the number of larger rings around one of its inner
+    points. Rings of even depth are shells; a ring of odd depth is a hole of the
+    smallest shell one level above it.
+    """
+    xy = [np.asarray(r, float) for r in rings if len(r) >= 4]
+    sizes = np.array([abs(_twice_area(c)) for c in xy])
+    keep = np.flatnonzero(sizes > 0.0)
+    if not len(keep):
+        return []
+    xy, sizes = [xy[k] for k in keep], sizes[keep]
+    named = [r for r in rings if len(r) >= 4]
+    points = np.array([_inner_point(c) for c in xy])
+    around = np.stack([_surrounds(c, points) for c in xy], axis=1) & (sizes[None, :] > sizes[:, None])
+    depth = around.sum(axis=1)
+    shell = depth % 2 == 0
+    above = np.where(around & (depth[None, :] == depth[:, None] - 1), sizes[None, :], np.inf)
+    owner = np.where(shell, np.arange(len(xy)), above.argmin(axis=1))
     return [
-        [shapes[i][2]] + [shapes[j][2] for j in range(len(shapes)) if parent[j] == i and depth[j] % 2 == 1]
-        for i in range(len(shapes))
-        if depth[i] % 2 == 0
+        [named[keep[i]], *(named[keep[j]] for j in np.flatnonzero((owner == i) & ~shell))] for i in np.flatnonzero(shell)
     ]
 
 
+def _twice_area(c: np.ndarray) -> float:
+    return float((c[:, 0] * np.roll(c[:, 1], -1) - np.roll(c[:, 0], -1) * c[:, 1]).sum())
+
+
+def _scan(c: np.ndarray, y) -> tuple[np.ndarray, np.ndarray]:
+    """For each height in ``y``: which edges of the ring cross it, and at which x."""
+    a, b, y = c, np.roll(c, -1, axis=0), np.atleast_1d(y)[:, None]
+    crossing = (a[:, 1] > y) != (b[:, 1] > y)
+    rise = np.where(a[:, 1] == b[:, 1], 1.0, b[:, 1] - a[:, 1])
+    return crossing, a[:, 0] + (y - a[:, 1]) * (b[:, 0] - a[:, 0]) / rise
+
+
+def _inner_point(c: np.ndarray) -> tuple[float, float]:
+    """Middle of the widest stretch inside the ring, on a height between two neighbouring vertex heights."""
+    heights = np.unique(c[:, 1])
+    middle = (heights[0] + heights[-1]) / 2.0
+    k = min(int(np.searchsorted(heights, middle, "right")), len(heights) - 1)
+    y = (heights[k - 1] + heights[k]) / 2.0
+    crossing, x = _scan(c, y)
+    at = np.sort(x[0][crossing[0]])
+    if len(at) < 2:
+        return float(c[0, 0]), float(y)
+    wide = at[1::2] - at[: len(at) // 2 * 2 : 2]
+    best = int(wide.argmax())
+    return float(at[2 * best] + at[2 * best + 1]) / 2.0, float(y)
+
+
+def _surrounds(c: np.ndarray, points: np.ndarray) -> np.ndarray:
+    crossing, x = _scan(c, points[:, 1])
+    return (crossing & (points[:, :1] < x)).sum(axis=1) % 2 == 1
+
+
 @F.pandas_udf(FLAT_RINGS)
 def _nested(xs: pd.Series, ys: pd.Series, lens: pd.Series) -> pd.DataFrame:
-    return _flat_frame([_nest(_unflatten(*row)) for row in zip(xs, ys, lens)])
+    return _flat_frame([_even_odd_groups(_unflatten(*row)) for row in zip(xs, ys, lens)])
 
 
 def nest_rings(xs: Column, ys: Column, lens: Column) -> Column:

@@ -113,11 +113,13 @@ def _swept(pdf: pd.DataFrame, poly: np.ndarray, extra: list[tuple[int, np.ndarra
     """Sweep the edges of a tile together with extra polygons given as (id, edges)."""
     e = pdf[["ax", "ay", "bx", "by"]].to_numpy(float)
     group = np.zeros(len(e), np.int64) if group is None else group
+    groups = np.unique(group) if len(group) else np.zeros(1, np.int64)
+    stacked, of_group, of_poly = [e], [group], [poly]
     for number, edges in extra:
-        for g in np.unique(group) if len(group) else [0]:
-            e = np.vstack([e, edges])
-            group = np.append(group, np.full(len(edges), g))
-            poly = np.append(poly, np.full(len(edges), number))
+        stacked.append(np.tile(edges, (len(groups), 1)))
+        of_group.append(np.repeat(groups, len(edges)))
+        of_poly.append(np.full(len(groups) * len(edges), number))
+    e, group, poly = np.concatenate(stacked), np.concatenate(of_group), np.concatenate(of_poly)
     return S.sweep(group, poly, *e.T)
 
 
