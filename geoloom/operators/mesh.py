@@ -138,8 +138,8 @@ def vertex_offsets(meshes: DataFrame, *, order: str, by: Sequence[str] = ()) ->
 
 
 def concat_meshes(sources: dict[str, DataFrame], limits: dict[str, int] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Labelled union of triangle sets, each thinned evenly to its review limit."""
-    limits = REVIEW_LIMITS if limits is None else limits
+    """Labelled union of triangle sets; ``limits`` (such as ``REVIEW_LIMITS``) thin kinds evenly, otherwise all triangles stay."""
+    limits = limits or {}
     out = None
     for kind, triangles in sources.items():
         limit = limits.get(kind.split(":")[0])

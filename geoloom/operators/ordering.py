@@ -14,6 +14,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1_000_000
+FAN = 1_000
+LEVELS = 3
+
+
+def _sums_before(totals: DataFrame, by: Sequence[str], pos: str, value: str, out: str, levels: int = LEVELS) -> DataFrame:
+    """Exclusive running sum of ``value`` along the integer ``pos``: inside blocks of ``FAN`` rows, over the blocks, and so on.
+
+    The last level alone has a window over a whole group; it sees one row for
+    ``FAN ** (levels - 1)`` positions.
+    """
+    before = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if levels == 1:
+        return totals.withColumn(out, F.coalesce(F.sum(value).over(before(by, pos)), F.lit(0)))
+    up, total, base = f"{pos}_", f"{value}_", f"{out}_"
+    staged = totals.withColumn(up, F.floor(F.col(pos) / FAN))
+    above = _sums_before(staged.groupBy(*by, up).agg(F.sum(value).alias(total)), by, up, total, base, levels - 1).drop(total)
+    inner = F.coalesce(F.sum(value).over(before([*by, up], pos)), F.lit(0))
+    return staged.withColumn(out, inner).join(above, [*by, up]).withColumn(out, F.col(out) + F.col(base)).drop(up, base)
 
 
 def running_sum(
@@ -29,8 +47,7 @@ def running_sum(
     """Running sum of ``value`` in ``order`` (a unique integer per group of ``by``)."""
     staged = df.withColumns({"_v": value.cast("bigint"), "_blk": F.floor(F.col(order) / block)})
     totals = staged.groupBy(*by, "_blk").agg(F.sum("_v").alias("_total"))
-    before = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_blk", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    offsets = _sums_before(totals, by, "_blk", "_total", "_offset").drop("_total")
     inside = Window.partitionBy(*by, "_blk").orderBy(order)
     frame = inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     return (

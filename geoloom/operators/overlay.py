@@ -367,9 +367,9 @@ class FootprintOverlaps:
             F.min("seq").alias("gid_seq"),
             F.max("seq").alias("max_seq"),
         )
-        # A geometry is named by a hash of its vertices; equal hashes are separated by the first feature.
+        # The checkpoint fixes the numbers that name the geometries.
         self.shapes = cut_lineage(
-            distinct.withColumn("gid", F.xxhash64("polygon", "gid_seq")).withColumn(
+            distinct.withColumn("gid", F.monotonically_increasing_id()).withColumn(
                 "shape_area", M.polygon_area(F.col("polygon"))
             )
         )
@@ -454,8 +454,10 @@ class FootprintOverlaps:
         """The ``limit`` largest overlaps over all groups, ties by feature indices."""
         keys = self.on
         rank = Window.partitionBy(*keys, "gid").orderBy("seq")
-        # No pair with a later member can be among the first `limit` of its geometry pair.
-        few = self.members.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= limit + 1).drop("_n")
+        # One row per geometry and feature with its number of polygons. Pairs go by feature indices, so no pair
+        # with a later feature can be among the first `limit` of its geometry pair.
+        per_feature = self.members.groupBy(*keys, "gid", "seq").agg(F.min("source_tag").alias("source_tag"), F.count("*").alias("m"))
+        few = per_feature.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= limit + 1).drop("_n")
         areas = self.shapes.select(*keys, "gid", "shape_area")
         lead = self.shapes.select(*keys, "gid", "gid_seq")
         best = (
@@ -470,7 +472,7 @@ class FootprintOverlaps:
         worst = cutoff.agg(F.min("_shown").alias("_min_area"))
         chosen = best.crossJoin(F.broadcast(worst)).where(F.col("_shown") >= F.col("_min_area"))
         side = lambda s: few.select(
-            *keys, F.col("gid").alias(f"gid_{s}"), F.col("seq").alias(f"_f{s}"), F.col("source_tag").alias(f"_t{s}")
+            *keys, F.col("gid").alias(f"gid_{s}"), F.col("seq").alias(f"_f{s}"), F.col("source_tag").alias(f"_t{s}"), F.col("m").alias(f"_m{s}")
         )
         measured = lambda s: areas.select(
             *keys, F.col("gid").alias(f"gid_{s}"), F.col("shape_area").alias(f"_ar{s}")
@@ -481,6 +483,8 @@ class FootprintOverlaps:
             .where((F.col("_fa") != F.col("_fb")) & ((F.col("gid_a") != F.col("gid_b")) | (F.col("_fa") < F.col("_fb"))))
             .join(measured("a"), [*keys, "gid_a"])
             .join(measured("b"), [*keys, "gid_b"])
+            # Polygons of the same two features give equal rows; more than `limit` of them cannot be shown.
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.col("_ma") * F.col("_mb"), F.lit(limit)).cast("int"))))
         )
         forward = F.col("_fa") < F.col("_fb")
         smaller = F.greatest(F.least("_ara", "_arb"), F.lit(1e-9))

@@ -424,14 +424,14 @@ def alignment(
     on: Sequence[str] = (),
     key: Sequence[str] = ("tile", "row", "col"),
     radius: int = P.ALIGN_RADIUS_M,
-    target: int = 2000,
+    target: int | None = None,
 ) -> DataFrame:
     """Best horizontal offset per group with score, shift and status.
 
-    The sample is at most about ``2 * target`` points per group by definition of
-    the diagnostic; each is tried at every offset against the footprints.
+    Every candidate is tried at every offset against the footprints; ``target``
+    thins them first to at most about ``2 * target`` points per group.
     """
-    sample = stride_sample(candidates, target, order=order, by=list(on))
+    sample = candidates if target is None else stride_sample(candidates, target, order=order, by=list(on))
     steps = F.sequence(F.lit(-radius), F.lit(radius))
     ids = list(dict.fromkeys([*on, *key]))
     # Offsets are tried only for point-polygon pairs that some offset can bring together.

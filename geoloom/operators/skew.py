@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 500_000
 HOT_KEYS = 65_536
-MAX_SALT = 256
 
 
 def lookup_join(
@@ -35,7 +34,7 @@ def lookup_join(
         .where(F.col("_n") > hot_rows)
         .orderBy(F.col("_n").desc(), "_h")
         .limit(HOT_KEYS)
-        .select("_h", F.least(F.lit(MAX_SALT), F.ceil(F.col("_n") / float(hot_rows)).cast("int")).alias("_salts"))
+        .select("_h", F.ceil(F.col("_n") / float(hot_rows)).cast("int").alias("_salts"))
     )
     tag = lambda df: df.withColumn("_h", hashed).join(hot, "_h", "left").withColumn(
         "_salts", F.coalesce("_salts", F.lit(1))
@@ -46,14 +45,14 @@ def lookup_join(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``; a local session gets its own folder."""
+    """Use the shared folder named in ``spark.checkpoint.dir``; only a local session without one gets its own folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if shared:
         sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="geoloom-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -70,10 +69,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating star contraction: each round links all larger neighbours of a
     node to its smallest neighbour, so long chains shrink in logarithmic time.
+    Ends when a round changes no link, and raises if ``max_rounds`` do not suffice.
     """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = cut_lineage(pairs)
-    signature = _signature(pairs)
     for _ in range(max_rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
@@ -81,17 +80,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = cut_lineage(small.unionByName(low.withColumnRenamed("m", "v")).where("u <> v").distinct())
-        latest = _signature(pairs)
-        if latest == signature:
+        latest = cut_lineage(small.unionByName(low.withColumnRenamed("m", "v")).where("u <> v").distinct())
+        # Both sides are sets of the same size exactly if neither holds a link that the other lacks.
+        same = latest.count() == pairs.count() and latest.join(pairs, ["u", "v"], "left_anti").isEmpty()
+        pairs = latest
+        if same:
             break
-        signature = latest
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = pairs.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
-
-def _signature(pairs: DataFrame) -> tuple:
-    row = pairs.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-    ).first()
-    return (row["n"], row["h"])

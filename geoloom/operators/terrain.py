@@ -17,7 +17,6 @@ from geoloom.schemas import TRI_COLS
 
 BOX = ("tx0", "ty0", "tx1", "ty1")
 SLACK = 1e-9
-MAX_LEVELS = 16
 
 
 def with_box(triangles: DataFrame) -> DataFrame:
@@ -139,13 +138,19 @@ def sample_nearest(
 
     The search radius doubles per level; a point is settled once its nearest
     candidate is closer than the radius, so later levels see only the leftovers.
+    The levels end when no point is left, or when the radius spans all points
+    and triangles; what is left then has no triangle in its group.
     """
     ids = list(dict.fromkeys([*on, *key]))
     px, py = F.col(xy[0]), F.col(xy[1])
     nearest = T.nearest_on_boundary(px, py)
     faces = with_box(valid_xy(triangles)).select(*on, *TRI_COLS, *BOX)
     todo, done, radius = misses.select(*ids, *xy), None, cell
-    for _ in range(MAX_LEVELS):
+    ends = faces.select(F.col("tx0").alias("x"), F.col("ty0").alias("y")).unionByName(
+        faces.select(F.col("tx1").alias("x"), F.col("ty1").alias("y"))
+    ).unionByName(todo.select(px.alias("x"), py.alias("y")))
+    span = ends.agg(F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("d")).first()["d"] or 0.0
+    while True:
         pairs = box_join(
             todo, faces, left_box=xy, right_box=BOX, cell=radius, on=on, pad=radius, left_id=key,
             right_id=TRI_COLS, hot_rows=hot_rows,
@@ -159,7 +164,7 @@ def sample_nearest(
         settled = cut_lineage(best.where(F.col("_d2") <= radius * radius).drop("_d2"))
         done = settled if done is None else done.unionByName(settled)
         todo = cut_lineage(todo.join(settled.select(*ids), ids, "left_anti"))
-        if todo.isEmpty():
+        if radius > span or todo.isEmpty():
             break
         radius *= 2.0
     return done

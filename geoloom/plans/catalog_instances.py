@@ -475,14 +475,14 @@ LATTICE_CTES = [
     ),
 ]
 PROBE_SQL = (
-    "select region, osm_num, radians(lon - 11.2558) * 6371000.0 * cos(radians(43.7696)) * 0.2 as x, radians(lat - 43.7696) * 6371000.0 * 0.15 as y from fx_points where osm_num % 5 = 0"
+    "select region, osm_num, radians(lon - 11.2558) * 6371000.0 * cos(radians(43.7696)) * 0.2 as x, radians(lat - 43.7696) * 6371000.0 * 0.15 as y from fx_points"
 )
 
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling points spread over the lattice, some of them in holes or beside it."""
     x, y = C.to_local(F.col("lon"), F.col("lat"), DEMO_REGION)
-    return view(spark, sf_dir, "fx_points").where("osm_num % 5 = 0").select(
+    return view(spark, sf_dir, "fx_points").select(
         "region", "osm_num", (x * 0.2).alias("x"), (y * 0.15).alias("y")
     )
 
@@ -615,11 +615,12 @@ def mesh_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "mesh_concat",
     ctes("fx_cells", extra=LATTICE_CTES)
-    + "select region, case when tile < 2 then 'terrain' when tile < 4 then 'building' else 'surface_layer:water' end as kind, case when tile >= 4 then least(count(*), 4000) when tile < 2 then least(count(*), 8000) else count(*) end as n"
-    " from (select region, case when tile < 2 then 0 when tile < 4 then 2 else 4 end as tile from tri) group by region, 2, tile",
+    + "select region, case when tile < 2 then 'terrain' when tile < 4 then 'building' else 'surface_layer:water' end as kind, tri_no,"
+    " round(ax, 3) as x1, round(ay, 3) as y1, round(az, 3) as z1, round(bx, 3) as x2, round(by_, 3) as y2, round(bz, 3) as z2,"
+    " round(cx, 3) as x3, round(cy, 3) as y3, round(cz, 3) as z3 from tri",
 )
 def mesh_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled union of meshes, each thinned to its review limit."""
+    """Labelled union of meshes, every triangle of them."""
     mesh = lattice(spark, sf_dir)
     out = MS.concat_meshes(
         {
@@ -629,7 +630,8 @@ def mesh_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         by=["region"],
     )
-    return out.groupBy("region", "kind").agg(F.count("*").alias("n"))
+    corners = [F.round(f"{v}{axis}", 3).alias(f"{axis}{k}") for k, v in enumerate("abc", 1) for axis in "xyz"]
+    return out.select("region", "kind", "tri_no", *corners)
 
 
 @query(

@@ -484,10 +484,9 @@ ALIGN_SQL = ctes(
     "fx_rects",
     extra=[
         VALID_CTE,
-        ("cd", "select *, row_number() over (partition by region order by seq) as pos, count(*) over (partition by region) as n from valid where height >= 2"),
-        ("sm", "select * from cd where (pos - 1) % greatest(1, cast(floor(n / 2000) as bigint)) = 0"),
+        ("cd", "select * from valid where height >= 2"),
         ("off", "select dx, dy from (select unnest(range(-6, 7)) as dx) a, (select unnest(range(-6, 7)) as dy) b"),
-        ("mv", "select s.region, s.seq, o.dx, o.dy, s.x - o.dx as mx, s.y - o.dy as my from sm s, off o"),
+        ("mv", "select s.region, s.seq, o.dx, o.dy, s.x - o.dx as mx, s.y - o.dy as my from cd s, off o"),
         ("hit", "select distinct m.region, m.seq, m.dx, m.dy from mv m join fx_rects p on p.region = m.region and p.category = 'buildings' and m.mx between p.x0 and p.x1 and m.my between p.y0 and p.y1"),
         ("sc", "select region, dx, dy, count(*) as score from hit group by 1, 2, 3"),
         ("best", "select *, row_number() over (partition by region order by score desc, sqrt(dx * dx + dy * dy), dx, dy) as rn from sc"),

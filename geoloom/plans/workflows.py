@@ -281,9 +281,9 @@ def plan_city_model(features: DataFrame, cloud: DataFrame, region: Region) -> Ci
         height=A.building_height([], F.col("tags")),
     )
     raised = MS.roof_raise(A.has_roof_shape(F.lit(None).cast("string"), F.col("tags")))
-    # One building id per polygon part: parts of one feature may differ in height.
+    # One building id per polygon part: parts of one feature may differ in height. The checkpoint fixes the numbers.
     buildings = tall.select(
-        (F.col("seq") * 1000 + F.col("polygon_no")).alias("building"), "seq", "base_z", "top_z",
+        F.monotonically_increasing_id().alias("building"), "seq", "polygon_no", "base_z", "top_z",
         raised.alias("roof_raise"), F.array("polygon").alias("parts"),
     )
     buildings = cut_lineage(buildings)

@@ -52,10 +52,14 @@ def read_obj(spark: SparkSession, path) -> DataFrame:
     for p in "abc":
         corner = vertices.select("path", F.col("v").alias(f"v{p}"), *[F.col(c).alias(f"{p}{c}") for c in "xyz"])
         fans = fans.join(corner, ["path", f"v{p}"])
-    # Triangles keep the order of their face lines; one face has far fewer corners than the factor.
-    return fans.select(
+    # Triangles keep the order of their face lines; a face of n corners takes n - 2 numbers.
+    starts = running_sum(
+        faces.select("path", "line_no", (F.size("f") - 2).cast("bigint").alias("n")), F.col("n"), order="line_no", out="first",
+        by=["path"], inclusive=False, block=BLOCK,
+    ).select("path", "line_no", "first")
+    return fans.join(starts, ["path", "line_no"]).select(
         "path",
-        (F.col("line_no") * 10_000 + F.col("k")).alias("tri_no"),
+        (F.col("first") + F.col("k")).alias("tri_no"),
         *[F.col(f"{p}{c}") for p in "abc" for c in "xyz"],
     )
 

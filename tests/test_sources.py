@@ -279,16 +279,21 @@ def test_dimensions_and_catalogue(spark, tmp_path):
 
 
 def test_terrain_hole_falls_back_to_nearest(spark, tmp_path):
-    # A frame of triangles around a hole: left side at z = 5, right side at z = 7.
+    # Two plates with a gap between them: the left one at z = 11, the right one at z = 3.
     def quad(x0, y0, x1, y1, z):
         return [(x0, y0, z, x1, y0, z, x1, y1, z), (x0, y0, z, x1, y1, z, x0, y1, z)]
 
-    rows = quad(0, 0, 4, 10, 5) + quad(6, 0, 10, 10, 7)
+    rows = quad(-3, 1, 2, 9, 11) + quad(5, 1, 12, 9, 3)
     cols = ", ".join(f"{c} double" for c in ("ax", "ay", "az", "bx", "by", "bz", "cx", "cy", "cz"))
     mesh = spark.createDataFrame([tuple(float(v) for v in r) for r in rows], cols)
-    points = spark.createDataFrame([(1, 2.0, 5.0), (2, 4.5, 5.0), (3, 5.7, 5.0), (4, 30.0, 5.0), (5, 10.0, 10.0)], "id int, x double, y double")
+    points = spark.createDataFrame([(1, 0.5, 4.0), (2, 2.75, 6.0), (3, 4.25, 6.0), (4, -40.0, 6.0), (5, 12.0, 9.0)], "id int, x double, y double")
     got = {r["id"]: (r["terrain_z"], r["terrain_status"]) for r in TR.sample_terrain(points, mesh, key=["id"], cell=0.5).collect()}
-    assert got == {1: (5.0, "hit"), 2: (5.0, "nearest"), 3: (7.0, "nearest"), 4: (None, "outside"), 5: (7.0, "hit")}
+    assert got == {1: (11.0, "hit"), 2: (11.0, "nearest"), 3: (3.0, "nearest"), 4: (None, "outside"), 5: (3.0, "hit")}
+    # More doublings than a fixed number of levels would allow.
+    wide = spark.createDataFrame([tuple(float(v) for v in r) for r in quad(0, 0, 1, 1, 1) + quad(200_000, 0, 200_001, 1, 2)], cols)
+    middle = spark.createDataFrame([(1, 90_000.0, 0.5)], "id int, x double, y double")
+    far = TR.sample_terrain(middle, wide, key=["id"], cell=0.5).collect()
+    assert [(r["terrain_z"], r["terrain_status"]) for r in far] == [(1.0, "nearest")]
 
 
 def test_tree_exports(spark, tmp_path):
@@ -303,7 +308,7 @@ def test_tree_exports(spark, tmp_path):
     assert crown.groupBy("tree_id").count().first()["count"] == 256
     quality = MS.mesh_quality(MS.translate(trunk, F.lit(0.0), F.lit(0.0)), ["tree_id"]).first()
     assert quality["closed_manifold"]
-    assert math.isclose(trees.first()["trunk_height_m"], 12 * 0.34)
+    assert math.isclose(trees.where("tree_id = 'tree_0001'").first()["trunk_height_m"], 12 * 0.34)
 
 
 def test_missing_mesh_bounds_are_reported(spark):
