@@ -475,15 +475,15 @@ LATTICE_CTES = [
     ),
 ]
 PROBE_SQL = (
-    "select region, osm_num, radians(lon - 11.2558) * 6371000.0 * cos(radians(43.7696)) * 0.2 as x, radians(lat - 43.7696) * 6371000.0 * 0.15 as y from fx_points"
+    "select region, osm_num, radians(lon - 11.2558) * 6371000.0 * cos(radians(43.7696)) * 0.2 + 0.0371 as x, radians(lat - 43.7696) * 6371000.0 * 0.15 + 0.0193 as y from fx_points"
 )
 
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling points spread over the lattice, some of them in holes or beside it."""
+    """Sampling points spread over the lattice, some of them in holes or beside it, none midway between two triangles."""
     x, y = C.to_local(F.col("lon"), F.col("lat"), DEMO_REGION)
     return view(spark, sf_dir, "fx_points").select(
-        "region", "osm_num", (x * 0.2).alias("x"), (y * 0.15).alias("y")
+        "region", "osm_num", (x * 0.2 + 0.0371).alias("x"), (y * 0.15 + 0.0193).alias("y")
     )
 
 
