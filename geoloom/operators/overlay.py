@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import measure as M
 from geoloom.operators import sweep as S
 from geoloom.operators.ordering import blocked_ordinal
+from geoloom.operators.rings import outlines
 from geoloom.operators.skew import connected_components, cut_lineage, lookup_join
 from geoloom.operators.spatial import _refine, box_join, crowded_cells, with_cells
 from geoloom.params import LAYER_SEGMENTS, MIN_OVERLAP_M2, MIN_SURFACE_M2, ROI_SEGMENTS, Region
@@ -251,6 +252,35 @@ def partition_surfaces(
     )
 
 
+def disjoint_surfaces(
+    features: DataFrame,
+    *,
+    on: Sequence[str] = (),
+    tile: float = TILE_M,
+    hot_edges: int = HOT_EDGES,
+    min_area: float = MIN_SURFACE_M2,
+) -> DataFrame:
+    """:func:`partition_surfaces` with the remaining polygons in ``parts``.
+
+    Of a clipped feature every separate piece of at most ``min_area`` is dropped;
+    areas and state are those of what is left, and removed features have no parts.
+    """
+    states = cut_lineage(partition_surfaces(features, on=on, tile=tile, hot_edges=hot_edges, min_area=min_area))
+    cut = states.where("state = 'clipped'").select(*on, "seq")
+    pieces = surface_pieces(features, on=on, tile=tile, hot_edges=hot_edges).join(cut, [*on, "seq"], "left_semi")
+    shapes = outlines(pieces, [*on, "seq"], min_area=min_area).withColumnRenamed("parts", "_cut")
+    clipped = F.col("state") == "clipped"
+    joined = states.join(shapes, [*on, "seq"], "left")
+    left = F.when(clipped, F.col("_cut")).when(F.col("state") == "accepted", F.col("parts"))
+    area = F.when(clipped, F.coalesce(M.parts_area(F.col("_cut")), F.lit(0.0))).otherwise(F.col("area_m2"))
+    return (
+        joined.withColumns({"parts": left, "area_m2": area})
+        .withColumn("removed_area_m2", F.greatest(F.lit(0.0), F.col("source_area_m2") - F.col("area_m2")))
+        .withColumn("state", F.when(clipped & F.col("_cut").isNull(), F.lit("removed")).otherwise(F.col("state")))
+        .drop("_cut")
+    )
+
+
 def overlap_statistics(partitioned: DataFrame, by: Sequence[str]) -> DataFrame:
     """Counts and removed area of :func:`partition_surfaces` per group."""
     return partitioned.groupBy(*by).agg(
@@ -517,10 +547,10 @@ def clip_to_circle(
     tile: float = TILE_M,
     hot_edges: int = HOT_EDGES,
 ) -> DataFrame:
-    """Features (``seq, parts``) with ``area_m2`` inside the circle polygon and ``clipped``; empty ones dropped.
+    """Features (``seq, parts``) cut to the circle polygon, with ``area_m2`` and ``clipped``; empty ones dropped.
 
     Only polygons that straddle the circle are swept: inside ones keep their
-    shoelace area, outside ones are dropped by their distance.
+    polygons, outside ones are dropped by their distance.
     """
     cx, cy = center
     vertices = F.flatten(F.flatten("parts"))
@@ -538,29 +568,14 @@ def clip_to_circle(
         {"area_m2": M.parts_area(F.col("parts")), "clipped": F.lit(False)}
     )
     cut_source = sized.where(straddling).drop("_reach", "_gap")
-    routed = route_to_tiles(edge_rows(cut_source.select(*on, "seq", "parts")), on=on, tile=tile, hot_edges=hot_edges)
-    circle = S.circle_edges(radius, segments, cx, cy)
-    key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in features.select(*on).schema)
-    schema = ", ".join(t for t in (key_types, "seq bigint, area double") if t)
-    keys = list(on)
-
-    def clip(pdf: pd.DataFrame) -> pd.DataFrame:
-        box = _tile_of(pdf)
-        seqs, group = np.unique(pdf["seq"].to_numpy(np.int64), return_inverse=True)
-        extra = [(1, S.clamp_to_tile(circle, *box)), (2, S.tile_edges(*box))]
-        s = _swept(pdf, np.zeros(len(pdf), np.int64), extra, group.astype(np.int64))
-        live = _covered_by(s, 0) & _covered_by(s, 1) & _covered_by(s, 2)
-        area = np.bincount(s.group[live], weights=s.area[live], minlength=len(seqs))
-        out = pd.DataFrame({"seq": seqs, "area": area})
-        for k in reversed(keys):
-            out.insert(0, k, pdf[k].iloc[0])
-        return out
-
-    areas = (
-        routed.groupBy(*on, *TILE_KEYS).applyInPandas(clip, schema).groupBy(*on, "seq").agg(F.sum("area").alias("area_m2"))
+    pieces = clipped_pieces(
+        cut_source, radius=radius, segments=segments, center=center, on=on, tile=tile, hot_edges=hot_edges
+    )
+    shapes = outlines(pieces, [*on, "seq"]).withColumnRenamed("parts", "_cut")
+    cut = cut_source.join(shapes, [*on, "seq"]).withColumns(
+        {"parts": F.col("_cut"), "area_m2": M.parts_area(F.col("_cut")), "clipped": F.lit(True)}
     )
-    cut = cut_source.join(areas, [*on, "seq"]).withColumn("clipped", F.lit(True))
-    return whole.unionByName(cut).where(F.col("area_m2") > min_area)
+    return whole.unionByName(cut.drop("_cut")).where(F.col("area_m2") > min_area)
 
 
 def clipped_pieces(
@@ -735,11 +750,13 @@ def gap_fill(
     tile: float = TILE_M,
     hot_edges: int = HOT_EDGES,
     min_area: float = MIN_SURFACE_M2,
+    geometry: bool = False,
 ) -> DataFrame:
     """One row per connected uncovered piece of the region circle above ``min_area``.
 
     Columns: ``on``, ``zone``, ``component``, ``area_m2``, ``cx``, ``cy``,
-    ``centroid_distance_m``, ``gap_no`` (inner pieces first).
+    ``centroid_distance_m``, ``gap_no`` (inner pieces first) and, with
+    ``geometry``, its polygon in ``parts``.
     """
     cells = cut_lineage(gap_pieces(features, regions, region=region, on=on, tile=tile, hot_edges=hot_edges))
     keys = list(on)
@@ -785,7 +802,37 @@ def gap_fill(
         .withColumns({"_zone": F.when(F.col("zone") == "annular", 1).otherwise(0), "_row": F.floor(F.col("_y") / tile)})
     )
     numbered = blocked_ordinal(shapes, block=["_zone", "_row"], within=["_y", "_x", "component"], out="gap_no", by=keys)
-    return numbered.select(*keys, "gap_no", "zone", "component", "area_m2", "cx", "cy", "centroid_distance_m")
+    gaps = numbered.select(*keys, "gap_no", "zone", "component", "area_m2", "cx", "cy", "centroid_distance_m")
+    if not geometry:
+        return gaps
+    names = [*keys, "zone", "component"]
+    kept = labelled.join(gaps.select(*names), names, "left_semi")
+    return gaps.join(outlines(kept, names), names)
+
+
+def gap_features(gaps: DataFrame) -> DataFrame:
+    """Rows of :func:`gap_fill` with geometry as generated features (``parts`` in the plane of the gaps)."""
+    distance = F.round("centroid_distance_m", 3)
+    return gaps.select(
+        F.col("gap_no").alias("seq"),
+        F.lit("generated").alias("osm_type"),
+        F.concat(F.lit("gap_fill_"), F.col("gap_no").cast("string")).alias("osm_id"),
+        F.lit("gap_fill").alias("category"),
+        F.lit("gap_fill").alias("group_tag"),
+        F.lit("generated=roi_difference").alias("source_tag"),
+        F.lit("generated").alias("source_type"),
+        F.when(F.size("parts") > 1, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")).alias("geom_type"),
+        "parts",
+        F.lit(True).alias("contributes_to_geometry"),
+        F.lit("generated_gap_fill_contributing_polygon").alias("geometry_role"),
+        F.col("zone").alias("roi_zone"),
+        M.reconstruction_scope(F.col("zone")).alias("reconstruction_scope"),
+        F.lit(False).alias("include_in_lod22"),
+        distance.alias("centroid_distance_m"),
+        distance.alias("roi_distance_m"),
+        F.round("area_m2", 3).alias("area_m2"),
+        F.create_map().cast("map<string,string>").alias("tags"),
+    )
 
 
 def trapezoid_polygon() -> Column:

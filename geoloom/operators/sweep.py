@@ -150,24 +150,33 @@ def sweep(group, poly, x0, y0, x1, y1) -> Sweep:
 
 
 def merge_runs(s: Sweep, rows: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Join vertically adjacent trapezoids that share both bounding edges and the label.
+    """Join neighbouring trapezoids of a label: side by side in a slab, then above each other between the same edges.
 
-    Returns ``label, y_lo, y_hi, xl_lo, xl_hi, xr_lo, xr_hi`` arrays.
+    ``rows`` are in ascending order. Returns ``label, y_lo, y_hi, xl_lo, xl_hi,
+    xr_lo, xr_hi`` arrays; joined pieces meet only along horizontal lines and
+    tile sides.
     """
-    order = np.lexsort((s.slab[rows], s.right[rows], s.left[rows], label))
+    apart = np.ones(len(rows), bool)
+    apart[1:] = (np.diff(rows) != 1) | (s.slab[rows][1:] != s.slab[rows][:-1]) | (label[1:] != label[:-1])
+    first = np.flatnonzero(apart)
+    ends = rows[np.append(first[1:], len(rows)) - 1] if len(rows) else rows
+    rows, label = rows[first], label[first]
+    right, xr_lo, xr_hi = s.right.copy(), s.xr_lo.copy(), s.xr_hi.copy()
+    right[rows], xr_lo[rows], xr_hi[rows] = s.right[ends], s.xr_lo[ends], s.xr_hi[ends]
+    order = np.lexsort((s.slab[rows], right[rows], s.left[rows], label))
     r, lab = rows[order], label[order]
     cut = np.ones(len(r), bool)
     if len(r) > 1:
         cut[1:] = (
             (lab[1:] != lab[:-1])
             | (s.left[r][1:] != s.left[r][:-1])
-            | (s.right[r][1:] != s.right[r][:-1])
+            | (right[r][1:] != right[r][:-1])
             | (s.slab[r][1:] != s.slab[r][:-1] + 1)
         )
     head = np.flatnonzero(cut)
     tail = np.append(head[1:], len(r)) - 1 if len(r) else head
     a, b = r[head], r[tail]
-    return lab[head], s.y_lo[a], s.y_hi[b], s.xl_lo[a], s.xl_hi[b], s.xr_lo[a], s.xr_hi[b]
+    return lab[head], s.y_lo[a], s.y_hi[b], s.xl_lo[a], s.xl_hi[b], xr_lo[a], xr_hi[b]
 
 
 def circle_edges(radius: float, segments: int, cx: float = 0.0, cy: float = 0.0) -> np.ndarray:

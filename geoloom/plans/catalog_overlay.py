@@ -110,6 +110,18 @@ def surface_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("surface_partition_geometry", PARTITION_CTES + "select region, seq, cast(ux as bigint) as ux, cast(uy as bigint) as uy from own")
+def surface_partition_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit squares inside the polygons that the precedence partition leaves of every surface."""
+    out = OV.disjoint_surfaces(ranked_rects(spark, sf_dir).select("region", "seq", "rank", "parts"), on=["region"])
+    polygons = out.where("parts is not null").select("region", "seq", F.explode("parts").alias("polygon"))
+    box = M.parts_bbox(F.array("polygon"))
+    span = lambda lo, hi: F.sequence(F.floor(box[lo]).cast("bigint"), F.ceil(box[hi]).cast("bigint") - 1)
+    squares = polygons.withColumn("ux", F.explode(span("min_x", "max_x"))).withColumn("uy", F.explode(span("min_y", "max_y")))
+    middle = squares.withColumns({"px": F.col("ux") + F.lit(0.5), "py": F.col("uy") + F.lit(0.5)})
+    return middle.where(M.point_in_polygon("polygon", "px", "py")).select("region", "seq", "ux", "uy")
+
+
 @query(
     "surface_partition_stats",
     PARTITION_CTES
@@ -230,6 +242,17 @@ def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("gap_fill_features")
+def gap_fill_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated features of the gaps; area and corners come from their polygons."""
+    gaps = OV.gap_fill(*gap_features(spark, sf_dir), region=DEMO_REGION, on=["region"], geometry=True)
+    corners = F.aggregate(F.flatten("parts"), F.lit(0), lambda n, r: n + F.size(r) - 1)
+    return gaps.select(
+        "region", "gap_no", "zone", F.round(M.parts_area(F.col("parts")), 3).alias("area_m2"), corners.alias("corners"),
+        F.abs(M.parts_area(F.col("parts")) - F.col("area_m2")).alias("area_error_m2") < 1e-3,
+    ).toDF("region", "gap_no", "zone", "area_m2", "corners", "area_agrees")
+
+
 @query(
     "gap_fill_area",
     UNION_CTES

@@ -99,28 +99,30 @@ def plan_features(
         C.localize_parts(F.col("parts"), region).alias("parts"),
     )
     planar = cut_lineage(planar)
-    surfaces = cut_lineage(OV.partition_surfaces(OV.precedence_rank(planar, precedence)))
+    surfaces = cut_lineage(OV.disjoint_surfaces(OV.precedence_rank(planar, precedence)))
     one = union.sparkSession.range(1).select()
-    gaps = OV.gap_fill(planar.select("seq", "parts"), one, region=region)
-    states = surfaces.select("seq", "state", "area_m2", F.col("removed_area_m2").alias("overlap_removed_area_m2"))
+    gaps = cut_lineage(OV.gap_fill(planar.select("seq", "parts"), one, region=region, geometry=True))
+    states = surfaces.select(
+        "seq", "state", "area_m2", F.col("removed_area_m2").alias("overlap_removed_area_m2"),
+        F.when(F.col("state") == "clipped", C.delocalize_parts(F.col("parts"), region)).alias("_cut"),
+    )
     kept = union.drop("area_m2").join(states, "seq", "left").where("state is null or state <> 'removed'")
-    return FeaturePlan(kept, rejected, duplicates, surfaces, gaps)
+    many = F.col("_cut").isNotNull() & F.col("geom_type").isin("Polygon", "MultiPolygon")
+    shape = F.when(many, F.when(F.size("_cut") > 1, F.lit("MultiPolygon")).otherwise(F.lit("Polygon"))).otherwise(F.col("geom_type"))
+    kept = kept.withColumns({"geom_type": shape, "parts": F.coalesce("_cut", "parts")}).drop("_cut")
+    filled = OV.gap_features(gaps).withColumn("parts", C.delocalize_parts(F.col("parts"), region))
+    filled = filled.withColumns({"source_no": F.lit(len(sources)), "seq": F.lit(len(sources)) * F.lit(SOURCE_STRIDE) + F.col("seq")})
+    return FeaturePlan(kept.unionByName(filled, allowMissingColumns=True), rejected, duplicates, surfaces, gaps)
 
 
 def clip_surfaces(polygons: DataFrame, region: Region) -> DataFrame:
     """Inventory polygons clipped to the region circle as surface features.
 
-    Polygons inside the circle keep their geometry; straddling ones are
-    replaced by the trapezoids of their intersection.
+    Polygons inside the circle keep their geometry; straddling ones are cut.
     """
     local = polygons.withColumn("parts", C.localize_parts(F.col("parts"), region))
-    sized = OV.clip_to_circle(local, radius=region.outer_radius_m, min_area=MIN_SURFACE_M2)
-    cut = OV.clipped_pieces(sized.where("clipped").select("seq", "parts"), radius=region.outer_radius_m)
-    shapes = (
-        cut.withColumn("_p", OV.trapezoid_polygon()).groupBy("seq").agg(F.array_sort(F.collect_list("_p")).alias("_cut"))
-    )
-    joined = sized.join(shapes, "seq", "left").withColumn("parts", F.coalesce("_cut", "parts")).drop("_cut", "clipped")
-    back = joined.withColumn("parts", C.delocalize_parts(F.col("parts"), region))
+    cut = OV.clip_to_circle(local, radius=region.outer_radius_m, min_area=MIN_SURFACE_M2).drop("clipped")
+    back = cut.withColumn("parts", C.delocalize_parts(F.col("parts"), region))
     return FT.supplemental_surfaces(back, region)
 
 
