@@ -180,3 +180,38 @@ def test_surface_pieces_form_the_same_areas(spark):
     pieces = OV.surface_pieces(df, tile=6.0).withColumn("polygon", OV.trapezoid_polygon())
     got = {r["seq"]: r["a"] for r in pieces.groupBy("seq").agg(F.sum(M.polygon_area(F.col("polygon"))).alias("a")).collect()}
     assert got == {1: pytest.approx(100.0), 2: pytest.approx(75.0)}
+
+
+def test_top_overlaps_with_many_copies_inside_one_feature(spark):
+    # One feature holds 150 copies of a square that two other features hold once.
+    one = square(0, 0, 10)[0]
+    rows = [(1, "many", [one] * 150), (2, "a", [one]), (3, "b", [one])]
+    df = spark.createDataFrame(rows, f"seq bigint, source_tag string, parts {PARTS}")
+    report = OV.FootprintOverlaps(df)
+    assert report.summary().first()["overlap_pair_count"] == 301
+    top = report.top(100).collect()
+    assert len(top) == 100 and {(r["first_feature_index"], r["second_feature_index"]) for r in top} == {(1, 2)}
+    pairs = [(r["first_feature_index"], r["second_feature_index"]) for r in report.top(301).collect()]
+    assert len(pairs) == 301 and pairs.count((1, 2)) == pairs.count((1, 3)) == 150 and pairs.count((2, 3)) == 1
+
+
+def test_components_raise_instead_of_stopping_early(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(64)], "u bigint, v bigint")
+    with pytest.raises(RuntimeError):
+        connected_components(links, max_rounds=1)
+
+
+def test_many_shapes_in_a_tile_stack_quickly():
+    import time
+
+    import pandas as pd
+
+    n = 4000
+    x = np.arange(n) % 60 * 2.0
+    y = np.arange(n) // 60 * 1.8
+    ends = np.concatenate([np.column_stack([x, y, x, y + 1]), np.column_stack([x + 1, y + 1, x + 1, y])])
+    pdf = pd.DataFrame(ends, columns=["ax", "ay", "bx", "by"])
+    group = np.tile(np.arange(n), 2)
+    start = time.perf_counter()
+    s = OV._swept(pdf, np.zeros(2 * n, np.int64), [(2, SW.tile_edges(0, 0, 128, 128))], group)
+    assert time.perf_counter() - start < 5 and math.isclose(s.area[s.cover_trap[s.cover_poly == 0]].sum(), n)
