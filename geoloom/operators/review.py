@@ -64,9 +64,11 @@ def build_candidates(
     source_label: str = "segmentation",
     backend: str = "external_geojson_segmentation",
     region: Region | None = None,
+    image: str | None = None,
 ) -> DataFrame:
     """Review candidates with their match, action, confidence and running id per group.
 
+    ``source_image`` is the mask's own, else ``image``, else ``unknown``.
     ``region`` adds the zone by area centroid (lon/lat geometry); without it
     the zone is left to the caller.
     """
@@ -100,6 +102,9 @@ def build_candidates(
                 F.nullif(F.col("backend"), F.lit("")) if "backend" in df.columns else F.lit(None).cast("string"), F.lit(backend)
             ),
             "confidence": A.confidence(F.col("confidence")),
+            "source_image": A.source_image(
+                [F.col("source_image")] if "source_image" in df.columns else [], F.lit(image).cast("string")
+            ),
             "review_status": F.lit("needs_review"),
             "contributes_to_geometry": F.lit(False),
             "geometry_role": F.lit("segmentation_candidate_review_only"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoloom.operators.ordering import blocked_ordinal
 from geoloom.functions import attributes as A
 from geoloom.functions import crs as C
 from geoloom.functions import measure as M
@@ -56,7 +57,9 @@ def read_elements(spark: SparkSession, path) -> DataFrame:
     files = _json_files(spark, path, _EXTRACT)
     rows = files.select("source", F.posexplode("elements").alias("pos", "text"))
     parsed = rows.withColumn("e", F.from_json("text", ELEMENT)).select("source", "pos", "e.*")
-    return parsed.withColumn("batch", F.col("source"))
+    # Total order: files by name, then entries; files are few beside their entries.
+    ordered = blocked_ordinal(parsed, block=["source"], within=["pos"], out="seq")
+    return ordered.withColumn("batch", F.col("source"))
 
 
 def broken_extracts(spark: SparkSession, path) -> DataFrame:

@@ -24,13 +24,15 @@ POINT_TYPES, MULTIPOINT_TYPES, POLYGON_TYPES = (1, 11, 21), (8, 18, 28), (5, 15,
 
 
 def _files(spark: SparkSession, path, suffix: str) -> DataFrame:
+    """``file, content``; a file is named by its whole path without the suffix, so equal names in two folders differ."""
+    either = "".join(f"[{c.lower()}{c.upper()}]" for c in suffix)
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{suffix}")
+        .option("pathGlobFilter", f"*.{either}")
         .option("recursiveFileLookup", True)
         .load(path)
         .select(
-            F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("file"), "content"
+            F.regexp_replace("path", r"\.[^./]*$", "").alias("file"), "content"
         )
     )
 

@@ -158,10 +158,10 @@ def test_point_shapefile_and_damage(spark, tmp_path):
     (tmp_path / "t.shp").write_bytes(shapefile(1, [point])[:-4])
     (tmp_path / "bad.shp").write_bytes(b"x" * 50)
     rows = SH.read_points(spark, str(tmp_path)).collect()
-    good = [(r["record_number"], r["point_index"], r["x"], r["y"]) for r in rows if r["file"] == "p" and not r["is_null"]]
+    good = [(r["record_number"], r["point_index"], r["x"], r["y"]) for r in rows if r["file"].endswith("/p") and not r["is_null"]]
     assert sorted(good) == [(1, 1, 3.0, 4.0), (2, 1, 1.0, 2.0), (2, 2, 5.0, 6.0)]
     assert [r["record_number"] for r in rows if r["is_null"]] == [3]
-    errors = {r["file"]: r["error"] for r in rows if r["error"]}
+    errors = {r["file"].rsplit("/", 1)[-1]: r["error"] for r in rows if r["error"]}
     assert errors == {"t": "truncated file", "bad": "file is too small for a header"}
 
 
@@ -321,3 +321,25 @@ def test_missing_mesh_bounds_are_reported(spark):
     assert {r["model"]: r["bounds_ok"] for r in PU.check_mesh_bounds(cat, mesh).collect()} == {"a": True, "b": False}
 
 
+
+
+def test_elements_of_several_files_have_one_total_order(spark, tmp_path):
+    for name, ids in (("b.json", [5, 6]), ("a.json", [7, 8, 9])):
+        write(tmp_path / name, json.dumps({"elements": [{"type": "node", "id": i, "lat": 1.0, "lon": 2.0} for i in ids]}))
+    rows = G.read_elements(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [(r["seq"], r["id"]) for r in rows] == [(1, 7), (2, 8), (3, 9), (4, 5), (5, 6)]
+
+
+def test_imagery_regions_and_mask_images(spark):
+    from geoloom.functions import attributes as A
+    from geoloom.operators import review as RV
+
+    images = spark.createDataFrame([("fetched", "a.png"), ("fetched", None), ("failed", "b.png")], "status string, image_path string")
+    assert [r["image_path"] for r in RV.available_imagery(images).collect()] == ["a.png"]
+    picked = spark.createDataFrame([("own.png",), ("",), (None,)], "source_image string").select(
+        A.source_image([F.col("source_image")], F.lit("fallback.png")).alias("i"), A.source_image([], F.lit(None).cast("string")).alias("u")
+    )
+    assert [tuple(r) for r in picked.collect()] == [("own.png", "unknown"), ("fallback.png", "unknown"), ("fallback.png", "unknown")]
+    cols = ", ".join(f"{c} double" for c in ("ax", "ay", "az", "bx", "by", "bz", "cx", "cy", "cz"))
+    triangles = spark.createDataFrame([("tower", *[3.0] * 9), ("inlet", *[2.0] * 9), ("tower", *[1.0] * 9)], f"region string, {cols}")
+    assert [(r["region"], r["ax"]) for r in MS.region_order(triangles).collect()] == [("inlet", 2.0), ("tower", 1.0), ("tower", 3.0)]
