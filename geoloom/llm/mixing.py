@@ -106,6 +106,8 @@ def mixed(docs: DataFrame, weights: Weights, *, budget: int | None = None, share
         total = int((leaves.agg(F.sum("tokens").alias("t")).first()["t"] or 0) * share)
     plan = budgets(leaves, total, [(f"__{n}", w) for n, w in weights], max_epochs=max_epochs).where("tokens > 0")
     plan = plan.select(*leaf, F.expr("budget div tokens").alias("epochs"), (F.col("budget") % F.col("tokens")).alias("rest"))
+    # Written, so that the planner knows how small it is and need not bring whole leaves together.
+    plan = written(plan, "mix-budgets")
     # Place of every document in the epoch of which its leaf takes a prefix.
     order = lambda own: F.md5(F.concat(F.lit(f"{seed}:"), F.col("epochs").cast("string"), F.lit(":"), own))
     placed = light.join(plan, list(leaf)).withColumn("place", order(F.col("own")))
