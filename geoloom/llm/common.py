@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 
 #: A word of every operator here: a run of bytes other than space and the controls \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
-WORD_RE = re.compile(WORD)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,27 +37,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def by_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``rows`` to every Arrow batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield rows(batch)
-
-    return df.mapInArrow(run, schema)
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ``rows`` rows, so that what a task derives from one batch stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def free_name(df: DataFrame, stem: str) -> str:

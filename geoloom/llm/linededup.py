@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoloom.llm.common import free_name, written
+from geoloom.llm.common import free_name, sliced, written
 
 MIN_WORDS = 50
 LINE_END = re.compile(rb"(?<=\n)|(?<=[.!?] )")
@@ -114,7 +114,7 @@ def _hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
     schema = T.StructType([docs.schema["id"], docs.schema["row"], *(T.StructField(n, T.ArrayType(k)) for n, k in kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hashes, words, counts = [], [], []
             for value in batch.column(2):
                 h, w = hashed(value.as_py() or b"")
@@ -152,7 +152,7 @@ def _matched_windows(docs: DataFrame, min_words: int) -> DataFrame:
     schema = T.StructType([docs.schema["id"], docs.schema["row"], *kinds, T.StructField("again", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             (h, counts), (w, _), (at, hits) = (_flat(batch.column(k)) for k in (2, 3, 4))
             own = Lines(h.view(np.uint64), w.astype(np.int64), counts)
             marked = np.zeros(len(h), bool)
@@ -231,7 +231,8 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", rem
     )
     # Untouched texts do not travel to Python.
     touched = F.when(F.col("__spans").isNotNull(), F.col(text).cast("binary"))
-    both = both.withColumn(out, without_lines(touched, F.col("__spans")))
+    # Marked as not to be repeated: filters on the result must not run it a second time beside the first.
+    both = both.withColumn(out, without_lines.asNondeterministic()(touched, F.col("__spans")))
     cleaned = F.coalesce(F.col(f"{out}.text"), F.col(text)).alias(text)
     cols = [cleaned if c == text else F.col(c) for c in docs.columns if c != removed]
     return both.select(*cols, F.col(f"{out}.removed").alias(removed))
