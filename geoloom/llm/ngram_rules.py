@@ -3,8 +3,8 @@
 The ratio compares two multinomials over hashed byte n-grams: one counted on
 trusted documents, one on all documents. A document's value is the mean of
 log(trusted / raw) over its n-grams; documents below a fixed threshold go.
-All corpus counts cover all documents; the trusted set is at most
-``TRUSTED_DOCS`` labelled documents, those with the smallest hashes of their ids.
+All corpus counts cover all documents, the trusted ones all documents whose
+labels are all 1.
 
 Defined results: a null text counts as empty; a text shorter than an n-gram has
 ratio 0; without trusted documents every ratio is 0; repeated rows count as
@@ -26,7 +26,6 @@ N = 4
 BUCKETS = 1 << 16
 #: Pseudo-count of a bucket, in units of one n-gram per bucket of either corpus.
 PRIOR = 1.0
-TRUSTED_DOCS = 20_000
 THRESHOLD = -0.3
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 SEPARATORS = bytes([0x20, *range(0x09, 0x0E)])
@@ -139,18 +138,18 @@ def judged(table: np.ndarray, n: int = N):
     return rules
 
 
-def trusted_ids(labels: DataFrame, *, key: str = "doc_id", label: str = "quality", limit: int = TRUSTED_DOCS) -> DataFrame:
-    """At most ``limit`` ids whose labels are all 1."""
+def trusted_ids(labels: DataFrame, *, key: str = "doc_id", label: str = "quality") -> DataFrame:
+    """The ids whose labels are all 1, each once."""
     rows = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y is not null")
-    return rows.groupBy("k").agg(F.min("y").alias("y")).where("y = 1").orderBy(F.xxhash64("k"), "k").limit(limit).select("k")
+    return rows.groupBy("k").agg(F.min("y").alias("y")).where("y = 1").select("k")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the base counters, ``llr``, ``base_failed`` and ``kept``."""
     new = {*FIELDS, "base_failed", "kept"}
     plain = docs.drop(*[c for c in docs.columns if c.lower() in new])
-    # The id list has a fixed bound, so its broadcast has one too.
-    good = F.broadcast(trusted_ids(labels, key=key).withColumn("trusted", F.lit(True)))
+    # The id list grows with the labels, so it is never broadcast: one plan for every size.
+    good = trusted_ids(labels, key=key).withColumn("trusted", F.lit(True)).hint("merge")
     corpus = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(good, "k", "left")
     table = log_ratios(counts(corpus))
     out = plain.withColumn("__rules", judged(table)(F.col(text).cast("binary"))).select(*plain.columns, "__rules.*")

@@ -84,3 +84,13 @@ def test_no_labels_and_empty_table(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     assert {r["llr"] for r in R.quality_rules(frame(spark, odd_documents()), none).collect()} == {0.0}
     assert R.quality_rules(frame(spark, []), none).count() == 0
+
+
+def test_all_trusted_documents_count(spark):
+    """More labelled documents than the former bound of 20,000."""
+    n = 20_500
+    docs = spark.range(n).selectExpr("id AS doc_id", "'abcd' AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    assert R.trusted_ids(labels).count() == n
+    good = R.trusted_ids(labels).selectExpr("k AS doc_id", "true AS trusted")
+    assert [(r["raw"], r["trusted"]) for r in R.counts(docs.join(good, "doc_id", "left")).collect()] == [(n, n)]
