@@ -77,5 +77,30 @@ def prefix_offsets(counts: DataFrame, group: list[str], order: str, value: str,
     return joined.select(*[F.col(f"r.{c}") for c in counts.columns], (F.col(f"r.{inner}") + F.col(f"s.{total}")).alias(out))
 
 
+def ranked(df: DataFrame, group: list[str], order: list[Column], out: str = "rank") -> DataFrame:
+    """``df`` plus ``out``, the place (from 0) of each row of a ``group`` in ``order``; written to the shared folder.
+
+    Rows are dealt by ranges of group and order and sorted inside them, so a
+    group of any size is spread over many tasks. What a range adds to the places
+    after it is a sum over at most one count per range and group.
+    """
+    from pyspark.sql import Window as W
+
+    part, at, first, n, before = (free_name(df, x) for x in ("__part", "__at", "__first", "__n", "__before"))
+    keys = [F.col(g).asc_nulls_first() for g in group] + order
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # The identifier counts the rows of a task in its lower 33 bits.
+    number = F.monotonically_increasing_id()
+    place = [F.shiftright(number, 33).alias(part), number.bitwiseAND(F.lit((1 << 33) - 1)).alias(at)]
+    rows = written(dealt.select("*", *place), "ranked")
+    counts = rows.groupBy(*group, part).agg(F.count("*").alias(n), F.min(at).alias(first))
+    earlier = W.partitionBy(*[F.col(g) for g in group] or [F.lit(0)]).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0)) - F.col(first))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*group, part]]
+    joined = rows.alias("r").join(counts.alias("c"), same)
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns if c != out], (F.col(f"r.{at}") + F.col(f"c.{before}")).alias(out))
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")

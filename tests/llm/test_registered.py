@@ -27,6 +27,6 @@ def test_query(spark, name):
         assert pick(df.columns, got) == pick(cols, result.fetchall())
 
 
-def test_ten_queries_and_the_pipeline():
+def test_all_queries_and_the_pipeline():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in catalogue.queries()} == {f"op{k}" for k in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in catalogue.queries()} == {f"op{k}" for k in range(1, 14)} and "pipeline" in names
