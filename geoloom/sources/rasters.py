@@ -1,27 +1,53 @@
-"""Elevation grids, canopy images and point clouds."""
+"""Elevation grids, canopy images and point clouds.
+
+Of a grid file the catalogue reads the header lines only. Values are read for the
+tiles of a catalogue alone, in byte ranges: a first look counts the lines that
+begin in each range, which gives the row number of its first line, and the second
+one reads the rows. A catalogue that was cut to a region thus cuts what is read.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions import attributes as A
 from geoloom.operators.quality import duplicate_keys
 from geoloom.params import NODATA_DEFAULT
+from geoloom.sources.ranges import SPLIT, each, files, split_ranges, spread
 
 HEADER_LINES = 6
 
 
+_HEAD_BYTES = 1 << 12
+#: Most bytes that header lines are looked for in.
+_MOST_HEAD = 1 << 20
+
+
+def _head(data) -> tuple[str, int]:
+    """The header lines of a grid file and the offset of the first row."""
+    size = _HEAD_BYTES
+    while True:
+        text = data.read(0, size)
+        at = -1
+        for _ in range(HEADER_LINES):
+            at = text.find(b"\n", at + 1)
+            if at < 0:
+                break
+        if at >= 0 or len(text) < size or size >= _MOST_HEAD:
+            body = at + 1 if at >= 0 else len(text)
+            return text[:body].decode("utf-8", "replace"), body
+        size *= 16
+
+
 def _grids(spark: SparkSession, path) -> DataFrame:
-    """One row per grid file (any upper/lower case of the suffix)."""
-    files = (
-        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-        .withColumn("path", F.col("_metadata.file_path"))
-        .withColumn("tile", F.element_at(F.split("path", "/"), -1))
-    )
-    return files.where(F.lower("tile").endswith(".asc"))
+    """``path, tile, value`` of each grid file (any upper/lower case of the suffix); ``value`` is its header."""
+    heads = each(
+        spread(files(spark, path, "asc"), "path"), lambda data, row: [(row.path, _head(data)[0])], "path string, value string"
+    )
+    return heads.withColumn("tile", F.element_at(F.split("path", "/"), -1))
 
 
 def _header() -> Column:
@@ -58,37 +84,98 @@ def duplicate_tiles(tiles: DataFrame) -> DataFrame:
     return duplicate_keys(tiles, F.lower("tile"), ["path"])
 
 
-def read_cells(spark: SparkSession, tiles: DataFrame, path) -> DataFrame:
+def _in_box(tiles: DataFrame, box) -> DataFrame:
+    x0, y0, x1, y1 = box
+    width, height = F.col("ncols") * F.col("cellsize"), F.col("nrows") * F.col("cellsize")
+    apart = (F.col("xll") + width < x0) | (F.col("xll") > x1) | (F.col("yll") + height < y0) | (F.col("yll") > y1)
+    return tiles.where(~apart)
+
+
+def read_cells(spark: SparkSession, tiles: DataFrame, path, *, box=None, split: int = SPLIT) -> DataFrame:
     """Grid values ``tile, row, col, x, y, z`` of the given tiles; nodata becomes null.
 
     Rows with a wrong number of values are reported by :func:`bad_rows`. Only
-    tiles in ``tiles`` are decoded, so a pruned catalogue prunes the work.
+    tiles in ``tiles`` are opened, and with a ``box`` (x0, y0, x1, y1) only those
+    that touch it; cells whose centre lies outside are left out.
     """
-    rows = _grid_rows(spark, tiles, path)
+    y = F.col("yll") + (F.col("nrows") - F.col("row") - 0.5) * F.col("cellsize")
+    rows = _grid_rows(spark, tiles if box is None else _in_box(tiles, box), path, split)
+    if box is not None:
+        rows = rows.where(y.between(box[1], box[3]))
     values = rows.select("tile", "row", "xll", "yll", "nrows", "cellsize", "nodata", F.posexplode("values").alias("col", "raw"))
     z = A.to_number(F.col("raw"))
-    return values.select(
+    cells = values.select(
         "tile",
         "row",
         "col",
         (F.col("xll") + (F.col("col") + 0.5) * F.col("cellsize")).alias("x"),
-        (F.col("yll") + (F.col("nrows") - F.col("row") - 0.5) * F.col("cellsize")).alias("y"),
+        y.alias("y"),
         F.when(z != F.col("nodata"), z).alias("z"),
     )
+    return cells if box is None else cells.where(F.col("x").between(box[0], box[2]))
 
 
-def _grid_rows(spark: SparkSession, tiles: DataFrame, path) -> DataFrame:
-    texts = _grids(spark, path).select("path", "value")
-    joined = tiles.where("error is null").join(texts, "path")
-    lines = F.split("value", "\r?\n")
-    body = F.slice(lines, HEADER_LINES + 1, F.greatest(F.size(lines) - HEADER_LINES, F.lit(0)))
-    rows = joined.select("tile", "ncols", "nrows", "xll", "yll", "cellsize", "nodata", F.posexplode(body).alias("row", "line"))
-    return rows.where("row < nrows").withColumn("values", F.split(A.strip(F.col("line")), r"\s+"))
+def _line_starts(data, row) -> tuple[bytes, int]:
+    """The bytes from the first line that begins in a range up to its end, and where they begin.
 
-
-def bad_rows(spark: SparkSession, tiles: DataFrame, path) -> DataFrame:
+    A line begins at the first row and behind every line feed.
+    """
+    body = data.read(row.start - 1, row.stop) if row.start > row.body else data.read(row.start, row.stop)
+    if row.start == row.body:
+        return body, row.start
+    at = body.find(b"\n")
+    return (b"", row.stop) if at < 0 or row.start + at >= row.stop else (body[at + 1 :], row.start + at)
+
+
+_TILE = "tile string, ncols int, nrows int, xll double, yll double, cellsize double, nodata double"
+_TILE_COLUMNS = [part.split()[0] for part in _TILE.split(", ")]
+
+
+def _grid_rows(spark: SparkSession, tiles: DataFrame, path, split: int = SPLIT) -> DataFrame:
+    found = files(spark, path, "asc")
+    named = tiles.where("error is null").select("path", *_TILE_COLUMNS).dropDuplicates(["path"])
+    if found.where("content is null").isEmpty():
+        named = named.join(found.select("path", "content"), "path")
+    else:
+        named = named.withColumn("content", F.lit(None).cast("binary"))
+    tile = lambda row: tuple(getattr(row, c) for c in _TILE_COLUMNS)
+
+    def sized(data, row):
+        yield row.path, row.content, _head(data)[1], len(data), *tile(row)
+
+    def counted(data, row):
+        own, at = _line_starts(data, row)
+        # A line feed at the end of a range begins a line of the next one.
+        yield row.path, row.start, 0 if at >= row.stop else 1 + own[:-1].count(b"\n")
+
+    def decoded(data, row):
+        own, at = _line_starts(data, row)
+        if at >= row.stop:
+            return
+        end = row.stop
+        while end < row.length and not own.endswith(b"\n"):  # the rest of the last line
+            more = data.read(end, end + _HEAD_BYTES * 16)
+            cut = more.find(b"\n")
+            own += more if cut < 0 else more[: cut + 1]
+            end += len(more) if cut < 0 else cut + 1
+        lines = own.split(b"\n")
+        for k, line in enumerate(lines[:-1] if own.endswith(b"\n") else lines):
+            if row.first + k < row.nrows:
+                yield *tile(row), row.first + k, line.rstrip(b"\r").decode("utf-8", "replace")
+
+    whole = each(spread(named, "path"), sized, f"path string, content binary, body bigint, length bigint, {_TILE}")
+    ranges = spread(split_ranges(whole, start=F.col("body"), stop=F.col("length"), split=split), "path", "start")
+    counts = each(ranges, counted, "path string, start bigint, begun bigint")
+    # One row for each range of a file; the texts meet nothing.
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("path", "start", F.coalesce(F.sum("begun").over(before), F.lit(0)).alias("first"))
+    rows = each(spread(ranges.join(counts, ["path", "start"]), "path", "start"), decoded, f"{_TILE}, row int, line string")
+    return rows.withColumn("values", F.split(A.strip(F.col("line")), r"\s+"))
+
+
+def bad_rows(spark: SparkSession, tiles: DataFrame, path, *, split: int = SPLIT) -> DataFrame:
     """Grid rows whose width differs from the header."""
-    rows = _grid_rows(spark, tiles, path)
+    rows = _grid_rows(spark, tiles, path, split)
     return rows.where(F.size("values") != F.col("ncols")).select("tile", "row", F.size("values").alias("width"), "ncols")
 
 

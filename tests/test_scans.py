@@ -4,8 +4,9 @@ import random
 import struct
 
 import pytest
-from test_sources import dbf, polygon_record, shapefile
+from test_sources import asc, dbf, polygon_record, shapefile
 
+from geoloom.sources import rasters as RA
 from geoloom.sources import shapefile as SH
 
 SPLITS = (40, 97, 1000, 10**6)
@@ -81,3 +82,38 @@ def test_a_file_that_only_spark_can_open(spark, tmp_path, monkeypatch):
     want = same(lambda s: SH.read_polygons(spark, str(tmp_path), split=s), (100,))
     monkeypatch.setattr(ranges, "DIRECT", set())
     assert same(lambda s: SH.read_polygons(spark, str(tmp_path), split=s), (100,)) == want
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "none", "blank"])
+def test_grids_at_any_split(spark, tmp_path, end):
+    rng = random.Random(6)
+    values = [[rng.randrange(-9999, 100) for _ in range(7)] for _ in range(31)]
+    text = asc(values)
+    text = {"\r\n": text.replace("\n", "\r\n"), "none": text.rstrip("\n"), "blank": text + "\n\n1 2\n"}.get(end, text)
+    (tmp_path / "a.asc").write_bytes(text.encode())
+    (tmp_path / "b.ASC").write_text(asc([[1, 2]]).replace("1 2", ""))
+    tiles = RA.read_tiles(spark, str(tmp_path), "dtm")
+    rows = same(lambda s: RA.read_cells(spark, tiles, str(tmp_path), split=s), (5, 23, 1000, 10**6))
+    cells = {(r["row"], r["col"]): r for r in RA.read_cells(spark, tiles.where("tile = 'a.asc'"), str(tmp_path), split=64).collect()}
+    assert len(cells) == 7 * 31 and len(rows) == 7 * 31 + 1  # the empty row of b is one empty value
+    for r, line in enumerate(values):
+        for c, z in enumerate(line):
+            got = cells[r, c]
+            assert (got["x"], got["y"], got["z"]) == (2 * c + 1.0, 2 * (31 - r) - 1.0, None if z == -9999 else float(z))
+
+
+def test_a_box_opens_only_its_tiles(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"t{k}.asc").write_text(asc([[k, k], [k, k]], f"xllcorner {4 * k}\nyllcorner 0"))
+    tiles = RA.read_tiles(spark, str(tmp_path), "dtm")
+    tiles = spark.createDataFrame(tiles.collect(), tiles.schema)
+    for k in (0, 1, 4, 5):  # a tile outside is not opened: its file may be gone
+        (tmp_path / f"t{k}.asc").unlink()
+    cells = RA.read_cells(spark, tiles, str(tmp_path), box=(8.5, 0.5, 13.5, 2.5)).collect()
+    assert sorted((r["tile"], r["x"], r["y"]) for r in cells) == [("t2.asc", 9.0, 1.0), ("t2.asc", 11.0, 1.0), ("t3.asc", 13.0, 1.0)]
+
+
+def test_grid_header_longer_than_the_first_look(spark, tmp_path):
+    (tmp_path / "h.asc").write_text(asc([[1, 2], [3, 4]]).replace("cellsize 2", "cellsize 2" + " " * 9000))
+    tiles = RA.read_tiles(spark, str(tmp_path), "dtm")
+    assert sorted(r["z"] for r in RA.read_cells(spark, tiles, str(tmp_path)).collect()) == [1.0, 2.0, 3.0, 4.0]
