@@ -1,4 +1,11 @@
-"""Triangle mesh readers (OBJ, ASCII STL)."""
+"""Triangle mesh readers (OBJ, ASCII STL).
+
+Files are read line by line in the splits of Spark's text source. A line's number
+is its place in its split plus the lines of the splits before, so a mesh of any
+size is the work of many tasks, and what depends on earlier lines (vertex
+numbers, the facet and the solid a line belongs to) are running sums over line
+numbers, whatever the splits.
+"""
 
 from __future__ import annotations
 
@@ -13,11 +20,15 @@ BLOCK = 100_000
 
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Stripped non-empty lines with their number: ``path, line_no, line``."""
-    files = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
-    rows = files.select("path", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "raw"))
-    return rows.select("path", F.col("line_no").cast("bigint").alias("line_no"), A.strip(F.col("raw")).alias("line")).where(
-        "line <> ''"
-    )
+    block = F.col("_metadata.file_block_start").alias("block")
+    # Numbers of one task rise along a split, and the same split has the same lines in both uses below.
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), block, F.monotonically_increasing_id().alias("id"), "value")
+    blocks = raw.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    # One row for each split of a file.
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("offset"))
+    rows = raw.join(blocks, ["path", "block"])
+    return rows.select("path", (F.col("id") + F.col("offset")).alias("line_no"), A.strip(F.col("value")).alias("line")).where("line <> ''")
 
 
 def read_obj(spark: SparkSession, path) -> DataFrame:
