@@ -1,23 +1,23 @@
-"""JSON and GeoJSON readers: map extracts, feature collections, catalogues, dimensions."""
+"""JSON and GeoJSON readers: map extracts, feature collections, catalogues, dimensions.
+
+Extracts and collections are read entry by entry from byte ranges (``jsonarray``),
+so one large file is the work of many tasks.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoloom.operators.ordering import blocked_ordinal
 from geoloom.functions import attributes as A
 from geoloom.functions import crs as C
 from geoloom.functions import measure as M
 from geoloom.schemas import ELEMENT, PARTS_DDL
+from geoloom.sources.jsonarray import array_entries, array_files, array_parts
+from geoloom.sources.ranges import SPLIT
 
 _STRUCT = T.StructType
-# Elements stay JSON text at first, so that one odd entry cannot spoil its file.
-_EXTRACT = _STRUCT(
-    [T.StructField("elements", T.ArrayType(T.StringType())), T.StructField("_corrupt", T.StringType())]
-)
-
 _FEATURE = _STRUCT(
     [
         T.StructField("type", T.StringType()),
@@ -28,43 +28,29 @@ _FEATURE = _STRUCT(
         T.StructField("properties", T.StringType()),
     ]
 )
-_COLLECTION = _STRUCT(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("features", T.ArrayType(_FEATURE)),
-        T.StructField("_corrupt", T.StringType()),
-    ]
-)
-
-
-def _json_files(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-        .withColumn("source", F.col("_metadata.file_path"))
-    )
 
 
-def read_elements(spark: SparkSession, path) -> DataFrame:
+def read_elements(spark: SparkSession, path, *, split: int = SPLIT) -> DataFrame:
     """Elements of cached map extracts with ``source``, ``pos`` and ``seq``.
 
     Entries that are no objects come back with all fields null, which the
     acceptance check turns into ``invalid_element`` rows. Batches are numbered
-    by file name, so the numbering does not depend on scan order.
+    by file name, so the numbering does not depend on scan order or ``split``.
     """
-    files = _json_files(spark, path, _EXTRACT)
-    rows = files.select("source", F.posexplode("elements").alias("pos", "text"))
-    parsed = rows.withColumn("e", F.from_json("text", ELEMENT)).select("source", "pos", "e.*")
-    # Total order: files by name, then entries; files are few beside their entries.
-    ordered = blocked_ordinal(parsed, block=["source"], within=["pos"], out="seq")
-    return ordered.withColumn("batch", F.col("source"))
+    parts = array_parts(spark, path, "elements", split=split)
+    rows = array_entries(parts).withColumn("e", F.from_json("text", ELEMENT))
+    # A file's first number is a sum over the files before it: one row for each file.
+    counts = array_files(parts).where("sound and found").select("source", "entries")
+    before = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("source", F.coalesce(F.sum("entries").over(before), F.lit(0)).alias("first"))
+    numbered = rows.join(first, "source")
+    seq = (F.col("first") + F.col("pos") + 1).alias("seq")
+    return numbered.select("source", F.col("pos").cast("int").alias("pos"), "e.*", seq, F.col("source").alias("batch"))
 
 
-def broken_extracts(spark: SparkSession, path) -> DataFrame:
-    """Files without an ``elements`` list."""
-    return _json_files(spark, path, _EXTRACT).where("elements is null").select("source")
+def broken_extracts(spark: SparkSession, path, *, split: int = SPLIT) -> DataFrame:
+    """Files without an ``elements`` list, and those whose brackets or strings do not close."""
+    return array_files(array_parts(spark, path, "elements", split=split)).where("not (found and sound)").select("source")
 
 
 def coordinates_to_parts(kind: Column, raw: Column) -> Column:
@@ -84,34 +70,44 @@ def coordinates_to_parts(kind: Column, raw: Column) -> Column:
     )
 
 
-def read_features(spark: SparkSession, path, *, strict: bool = False) -> DataFrame:
+def read_features(spark: SparkSession, path, *, strict: bool = False, lines: bool = False, split: int = SPLIT) -> DataFrame:
     """Features of GeoJSON collections: ``source, feature_index, geom_type, parts, properties`` (JSON text).
 
     Features without geometry are dropped. ``strict`` keeps only files that
     declare themselves a FeatureCollection (see :func:`broken_collections`).
+    ``lines`` reads files of one feature per line; their features have no number.
     """
-    files = _json_files(spark, path, _COLLECTION)
-    if strict:
-        files = files.where("type = 'FeatureCollection'")
-    rows = files.select("source", F.posexplode("features").alias("feature_index", "f"))
+    rows = _features(spark, path, strict=strict, split=split) if not lines else _feature_lines(spark, path)
     kind = F.col("f.geometry.type")
     return rows.where(F.col("f.geometry").isNotNull() & kind.isNotNull()).select(
         "source",
-        F.col("feature_index").cast("bigint").alias("feature_index"),
+        "feature_index",
         kind.alias("geom_type"),
         coordinates_to_parts(kind, F.col("f.geometry.coordinates")).alias("parts"),
         F.col("f.properties").alias("properties"),
     )
 
 
-def broken_collections(spark: SparkSession, path) -> DataFrame:
+def _features(spark: SparkSession, path, *, strict: bool = False, split: int = SPLIT) -> DataFrame:
+    """``source, feature_index, f`` of every entry of the ``features`` lists."""
+    parts = array_parts(spark, path, "features", split=split)
+    if strict:
+        parts = parts.where("type = 'FeatureCollection'")
+    return array_entries(parts).select("source", F.col("pos").alias("feature_index"), F.from_json("text", _FEATURE).alias("f"))
+
+
+def _feature_lines(spark: SparkSession, path) -> DataFrame:
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), F.from_json("value", _FEATURE).alias("f"))
+    return lines.select("source", F.lit(None).cast("bigint").alias("feature_index"), "f")
+
+
+def broken_collections(spark: SparkSession, path, *, split: int = SPLIT) -> DataFrame:
     """Files that are no FeatureCollection or lack a feature list, and empty ones."""
-    files = _json_files(spark, path, _COLLECTION)
-    return files.select(
+    return array_files(array_parts(spark, path, "features", split=split)).select(
         "source",
-        F.when(F.col("features").isNull(), F.lit("missing features list"))
+        F.when(~(F.col("found") & F.col("sound")), F.lit("missing features list"))
         .when(F.coalesce(F.col("type") != "FeatureCollection", F.lit(True)), F.lit("not a FeatureCollection"))
-        .when(F.size("features") == 0, F.lit("no features"))
+        .when(F.col("entries") == 0, F.lit("no features"))
         .alias("error"),
     ).where("error is not null")
 
@@ -182,8 +178,7 @@ def read_planning_points(spark: SparkSession, inputs: DataFrame, paths: list[str
     ``inputs``: ``name, file_name, crs, enabled``; ``paths`` are the files of
     the enabled inputs (disabled files are never opened).
     """
-    files = _json_files(spark, paths, _COLLECTION)
-    rows = files.select("source", F.posexplode("features").alias("source_feature_index", "f"))
+    rows = _features(spark, paths).withColumnRenamed("feature_index", "source_feature_index")
     dimension = inputs.where("enabled").select(
         "file_name", F.col("name").alias("input_name"), F.col("crs").alias("source_crs")
     )
@@ -222,6 +217,12 @@ def raw_properties(text: Column) -> Column:
 
 # --- dimensions -------------------------------------------------------------------------------
 
+
+def _json_files(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """Small catalogue files, one row each."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 _TREE_MODEL = _STRUCT(
     [
         T.StructField("name", T.StringType()),

@@ -65,9 +65,9 @@ class Bytes:
             self._file = None
 
 
-def files(spark: SparkSession, path, suffix: str | None = None) -> DataFrame:
+def files(spark: SparkSession, path, suffix: str | None = None, *, recursive: bool = True) -> DataFrame:
     """``path, length, content`` of the files below ``path``; ``content`` is null where tasks can open the file."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if suffix:
         found = found.option("pathGlobFilter", "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in suffix))
     found = found.load(path)

@@ -1,11 +1,16 @@
 """One large file is read by many tasks: any split gives the rows of a single range."""
 
+import json
 import random
 import struct
+from collections import Counter
 
 import pytest
 from test_sources import asc, dbf, polygon_record, shapefile
 
+from geoloom.sources import geojson as G
+from geoloom.sources import jsonarray as J
+from geoloom.sources import meshes as ME
 from geoloom.sources import rasters as RA
 from geoloom.sources import shapefile as SH
 
@@ -117,3 +122,101 @@ def test_grid_header_longer_than_the_first_look(spark, tmp_path):
     (tmp_path / "h.asc").write_text(asc([[1, 2], [3, 4]]).replace("cellsize 2", "cellsize 2" + " " * 9000))
     tiles = RA.read_tiles(spark, str(tmp_path), "dtm")
     assert sorted(r["z"] for r in RA.read_cells(spark, tiles, str(tmp_path)).collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+def entries_of(spark, path, key, split):
+    return J.array_entries(J.array_parts(spark, path, key, split=split))
+
+
+ODD = ['"', "\\", '\\"', "]", "[", "{,}", ",", "é ", '"features":[', "\\\\", "\t"]
+
+
+def odd_values(rng, n):
+    out = []
+    for k in range(n):
+        text = "".join(rng.choice(ODD) for _ in range(rng.randrange(9)))
+        out.append(rng.choice([{"id": k, "s": text, "t": {"type": "x", text: [1, [2, [k]]]}}, text, k, None, [text, [text]], {}]))
+    return out
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_json_entries_at_any_split(spark, tmp_path, indent):
+    rng = random.Random(7)
+    want = {}
+    for name, n in (("a", 90), ("b", 1), ("c", 0)):
+        values = odd_values(rng, n)
+        other = {"x": [[1, 2], [3]], "features_": [4, 5], "\\": {"features": [6, 7]}, "s": 'a "features": [8'}
+        whole = {**other, "features": values, "type": "Té", "after": [1, 2, {"features": [9]}]}
+        (tmp_path / f"{name}.json").write_text(json.dumps(whole, indent=indent, ensure_ascii=name == "a"), encoding="utf-8")
+        want[name] = values
+    for split in (7, 64, 1000, 10**6):
+        got = {name: {} for name in want}
+        for r in entries_of(spark, str(tmp_path), "features", split).collect():
+            got[r["source"].rsplit("/", 1)[-1][0]][r["pos"]] = json.loads(r["text"])
+        assert {k: [v[i] for i in sorted(v)] for k, v in got.items()} == want
+        assert all(sorted(v) == list(range(len(v))) for v in got.values())
+        files = {r["source"].rsplit("/", 1)[-1][0]: r for r in J.array_files(J.array_parts(spark, str(tmp_path), "features", split=split)).collect()}
+        assert {k: (r["type"], r["found"], r["sound"], r["entries"]) for k, r in files.items()} == {k: ("Té", True, True, len(v)) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("split", [5, 10**6])
+def test_json_files_that_are_no_such_object(spark, tmp_path, split):
+    for name, text in {"cut": '{"features": [{"a": 1}, {"b', "quote": '{"features": ["a]}', "none": '{"other": []}', "blank": "", "deep": '{"x": {"features": [1]}}'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    parts = J.array_parts(spark, str(tmp_path), "features", split=split)
+    good = [r["source"] for r in J.array_files(parts).where("found and sound").collect()]
+    assert good == [] and J.array_entries(parts).count() == 0
+    assert G.broken_collections(spark, str(tmp_path), split=split).count() == 5 - 1  # an empty file has no range
+
+
+def test_elements_are_numbered_over_all_files(spark, tmp_path):
+    for name, n in (("b", 30), ("a", 20), ("c", 5)):
+        rows = [{"type": "node", "id": 100 * ord(name) + k, "lat": 1.0, "lon": 2.0} for k in range(n)]
+        (tmp_path / f"{name}.json").write_text(json.dumps({"elements": rows}))
+    for split in (50, 10**6):
+        got = sorted((r["seq"], r["id"]) for r in G.read_elements(spark, str(tmp_path), split=split).collect())
+        assert [s for s, _ in got] == list(range(1, 56))
+        assert [i for _, i in got] == [100 * ord(c) + k for c, n in (("a", 20), ("b", 30), ("c", 5)) for k in range(n)]
+
+
+@pytest.mark.parametrize("size", [70, 900, 10**7])
+def test_meshes_at_any_split(spark, tmp_path, size):
+    rng = random.Random(8)
+    obj, stl = [], []
+    for k in range(150):
+        obj.append(f"v {k} {k + 1} 0.5")
+        if k > 4 and k % 3 == 0:
+            obj.append("f " + " ".join(str(rng.choice([-1, -2, -5, 1, 2, k])) for _ in range(rng.choice([3, 4, 5]))))
+        if k % 60 == 0:
+            obj += ["", "f 9999 1 2"]
+    for name, n in (("inlet", 12), ("outlet x", 9), ("tower", 7)):
+        stl.append(f"solid {name}")
+        for k in range(n):
+            stl += ["facet normal 0 0 1", "outer loop", *(f"vertex {k} {j} 0.25" for j in range(3)), "endloop", "endfacet"]
+        stl.append(f"endsolid {name}")
+    stl.pop(40)  # a facet loses a line
+    (tmp_path / "m.obj").write_text("\r\n".join(obj))
+    (tmp_path / "m.stl").write_text("\n".join(stl))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        triangles = ME.read_obj(spark, str(tmp_path / "m.obj")).collect()
+        bad = [r["line_no"] for r in ME.bad_obj_faces(spark, str(tmp_path / "m.obj")).collect()]
+        regions = Counter(r["region"] for r in ME.read_stl(spark, str(tmp_path / "m.stl")).collect())
+        errors = ME.stl_errors(spark, str(tmp_path / "m.stl")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want, seen = [], 0
+    for line in obj:
+        word = line.split()
+        if word[:1] == ["v"]:
+            seen += 1
+        elif word[:1] == ["f"]:
+            refs = [int(r) if int(r) > 0 else seen + int(r) + 1 for r in word[1:]]
+            want += [(refs[0], refs[k], refs[k + 1]) for k in range(1, len(refs) - 1)]
+    want = [w for w in want if max(w) <= 150]
+    assert [(int(t["ax"]) + 1, int(t["bx"]) + 1, int(t["cx"]) + 1) for t in sorted(triangles, key=lambda t: t["tri_no"])] == want
+    assert sorted(bad) == [k for k, line in enumerate(obj) if "9999" in line]
+    assert regions == {"inlet": 12, "outlet x": 9, "tower": 7} and len(errors) == 1
