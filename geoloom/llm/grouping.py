@@ -2,22 +2,22 @@
 
 A *node* is one distinct set of shingles, so equal texts cost one. A sketch gives
 a node its candidate keys and a signature of fixed size. Nodes that share a key
-are a bucket; only signatures meet there, and only what looks alike is compared
-on the full sets, which travel by pairs and not by buckets.
-
-1. First round: in each bucket the first node, and then each node that none
-   before it resembled, is paired with those it resembles: at most one pair per
-   node and bucket. Buckets of more than ``BLOCK`` nodes are cut into blocks that
-   all hold the bucket's first node.
-2. The pairs are confirmed, each task reduces its links by union-find, and star
-   contraction joins what is left into groups.
-3. Later rounds take the buckets that still hold several groups. Their nodes
-   outside the largest of these groups are paired with the most similar nodes
-   of other groups that they were not compared with, more in each round. The
-   rounds end when no such pair is left, so a link is missed only if two sets
-   share no key, or if their signatures rule it out.
-
-Within a group of copies no pairs are formed beyond those of step 1.
+are a bucket.
+
+1. Signatures meet in the buckets. What may be alike there becomes the links of a
+   forest, and the forests of all buckets, joined, cut the nodes into *clusters*:
+   every pair that shares a key and is not ruled out by its signatures lies in one.
+2. The texts of the clusters, each once, come together and are compared exactly:
+   an inverted index over the shingles of a block counts the common shingles of
+   one set with all others. Links are confirmed, again as forests.
+3. Union-find in each task and star contraction between tasks give the groups.
+
+No pairs are formed. In a bucket or cluster a few *pivots* are compared with all
+others; of what they leave apart the largest part is taken as settled, and only
+the nodes outside it are compared with all. That is complete: a link between two
+parts has an end outside the largest. Buckets and clusters over a size are dealt
+to blocks, each with the pivots in it; afterwards the nodes outside the largest
+part go to every block.
 """
 
 from __future__ import annotations
@@ -35,10 +35,12 @@ from pyspark.sql import types as T
 from geoloom.llm.common import sliced, written
 from geoloom.operators.skew import connected_components
 
-#: Nodes of one bucket that meet in one task, and pairs of one node that are confirmed in one task.
-BLOCK = 4_096
-FIRST, GROWTH = 8, 8
-_MAX_ROUNDS = 40
+#: Nodes of one bucket or cluster that meet in one task, and shingles that do.
+BLOCK = 2_048
+BLOCK_SHINGLES = 4_000_000
+PIVOTS = 8
+_FLUSH = 20_000
+_LINKS = "u binary, v binary"
 
 
 @dataclass(frozen=True)
@@ -59,14 +61,6 @@ class Sketch:
     def sizes_allow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
 
-    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
-        """Whether two sorted sets are similar enough."""
-        if not len(a) or not len(b) or not self.sizes_allow(np.int64(len(a)), np.int64(len(b))):
-            return False
-        at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-        both = int((a[at] == b).sum())
-        return 100 * both >= self.percent * (len(a) + len(b) - both)
-
 
 def sketched(named: DataFrame, how: Sketch) -> DataFrame:
     """``id, row, node, size, sig, keys`` of every row of ``named`` (``id, row, text``)."""
@@ -112,102 +106,69 @@ def _segments(batches: Iterator[pa.RecordBatch], keys: int = 2) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _signatures(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    values = column.to_pylist()
-    return np.frombuffer(b"".join(values), dtype).reshape(len(values), -1)
-
-
-_PAIRS = "u binary, v binary"
-_FLUSH = 20_000
-
-
-class _Pairs:
-    """Pairs to be sent, a batch at a time."""
+def forest(n: int, near: Callable[[int], np.ndarray], visit: np.ndarray | None = None, label: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links (positions) that join all of ``n`` nodes which are linked; ``near`` gives the links of one.
+
+    Without ``visit`` the first ``PIVOTS`` nodes are asked, then all that lie
+    outside the largest part; with it exactly those nodes are. ``label`` names
+    the parts known before.
+    """
+    label = np.arange(n) if label is None else label.copy()
+    found: list[tuple[int, int]] = []
+
+    def ask(x: int) -> None:
+        hits = near(x)
+        hits = hits[label[hits] != label[x]]
+        if len(hits):
+            parts, first = np.unique(label[hits], return_index=True)
+            found.extend((x, int(hits[k])) for k in first)
+            label[np.isin(label, parts)] = label[x]
+
+    if visit is None:
+        for x in range(min(PIVOTS, n)):
+            ask(x)
+        counts = np.bincount(label)
+        visit = np.flatnonzero(label != counts.argmax())
+        visit = visit[visit >= PIVOTS]
+    for x in visit.tolist():
+        ask(x)
+    return found
 
-    def __init__(self, extra: bool = False):
-        self.u, self.v, self.more, self.extra = [], [], [], extra
 
-    def add(self, u: bytes, many: list[bytes], more: bool = False) -> None:
-        self.u += [u] * len(many)
-        self.v += many
-        self.more += [more] * len(many)
+class Signatures:
+    """Nodes compared by their signatures."""
 
-    def batch(self) -> pa.RecordBatch:
-        cols = [pa.array(self.u, pa.binary()), pa.array(self.v, pa.binary())]
-        out = pa.RecordBatch.from_arrays([*cols, pa.array(self.more, pa.bool_())], names=["u", "v", "more"]) if self.extra else pa.RecordBatch.from_arrays(cols, names=["u", "v"])
-        self.u, self.v, self.more = [], [], []
-        return out
+    def __init__(self, one: pa.Table, how: Sketch, among: np.ndarray | None = None):
+        values = one.column("sig").to_pylist()
+        self.sizes, self.how = one.column("size").to_numpy(), how
+        self.sigs = np.frombuffer(b"".join(values), how.dtype).reshape(len(values), -1)
+        self.among = np.arange(len(values)) if among is None else among
 
+    def near(self, x: int) -> np.ndarray:
+        at = self.among[self.how.sizes_allow(self.sizes[self.among], self.sizes[x])]
+        return at[self.how.alike(self.sigs[x], self.sigs[at]) >= 0]
 
-def leaders(nodes: list[bytes], sizes: np.ndarray, sigs: np.ndarray, how: Sketch) -> list[tuple[bytes, list[bytes]]]:
-    """Each node that none before it resembled, with the later nodes that resemble it."""
-    found, rest = [], np.arange(len(nodes))
-    while len(rest) > 1:
-        x, rest = rest[0], rest[1:]
-        near = how.sizes_allow(sizes[rest], sizes[x])
-        near[near] = how.alike(sigs[x], sigs[rest[near]]) >= 0
-        if near.any():
-            found.append((nodes[x], [nodes[k] for k in rest[near]]))
-            rest = rest[~near]
-    return found
 
+class Sets:
+    """Nodes compared by their sets, with an inverted index over the shingles of those that are ``among``."""
 
-def _first_pairs(met: DataFrame, how: Sketch) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Pairs()
-        for one in _segments(batches):
-            sigs = _signatures(one.column("sig"), how.dtype)
-            for u, many in leaders(one.column("node").to_pylist(), one.column("size").to_numpy(), sigs, how):
-                out.add(u, many)
-            if len(out.u) > _FLUSH:
-                yield out.batch()
-        yield out.batch()
-
-    g = F.ceil(F.col("n") / BLOCK).cast("int")
-    # The first node of a bucket stands in each of its blocks.
-    first = F.col("node") == F.col("low")
-    blocks = F.when(first, F.sequence(F.lit(0), g - 1)).otherwise(F.array(F.pmod(F.hash("node"), g)))
-    rows = met.select("key", F.explode(blocks).alias("block"), "node", "size", "sig", first.alias("first"))
-    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.col("first").desc(), "node")
-    return rows.mapInArrow(run, _PAIRS).distinct()
-
-
-def _later_pairs(met: DataFrame, group: DataFrame, tested: DataFrame, most: int, how: Sketch) -> DataFrame:
-    """``u, v, more``: untested pairs between groups; ``more`` if a node had more than ``most`` of them to choose from."""
+    def __init__(self, one: pa.Table, how: Sketch, among: np.ndarray | None = None):
+        self.sets, self.percent = [how.shingles(t.as_py()) for t in one.column("text")], how.percent
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        among = np.arange(len(self.sets)) if among is None else among
+        every = np.concatenate([self.sets[k] for k in among]) if len(among) else np.zeros(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.values, self.owner = every[order], np.repeat(among, self.sizes[among])[order]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Pairs(extra=True)
-        for one in _segments(batches):
-            node, sizes, sigs = one.column("node").to_pylist(), one.column("size").to_numpy(), _signatures(one.column("sig"), how.dtype)
-            group = np.unique(np.array(one.column("group").to_pylist(), object), return_inverse=True)[1]
-            home = np.flatnonzero(one.column("home").to_numpy())
-            for x in np.flatnonzero(one.column("left").to_numpy()):
-                near = home[(group[home] != group[x]) & how.sizes_allow(sizes[home], sizes[x])]
-                score = how.alike(sigs[x], sigs[near])
-                near, score = near[score >= 0], score[score >= 0]
-                if len(near) > most:
-                    best = np.argsort(-score, kind="stable")[:most]
-                    out.add(node[x], [node[k] for k in near[best]], True)
-                else:
-                    out.add(node[x], [node[k] for k in near])
-                if len(out.u) > _FLUSH:
-                    yield out.batch()
-        yield out.batch()
-
-    own = met.join(group, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    counts = own.groupBy("key", "group").agg(F.count("*").alias("c"))
-    open_ = counts.groupBy("key").agg(F.count("*").alias("groups"), F.max(F.struct("c", "group")).alias("m")).where("groups > 1")
-    own = own.withColumn("k", F.hash("key")).join(open_.select(F.hash("key").alias("k"), "key", F.col("m.group").alias("main")), ["k", "key"])
-    left = F.col("group") != F.col("main")
-    g = F.ceil(F.col("n") / BLOCK).cast("int")
-    at = F.pmod(F.hash("node"), g)
-    blocks = F.when(left, F.sequence(F.lit(0), g - 1)).otherwise(F.array(at))
-    rows = own.select("key", F.explode(blocks).alias("block"), "node", "size", "sig", "group", left.alias("left"), at.alias("at"))
-    rows = rows.select("key", "block", "node", "size", "sig", "group", "left", (F.col("at") == F.col("block")).alias("home"))
-    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block")
-    pairs = rows.mapInArrow(run, _PAIRS + ", more boolean")
-    pairs = pairs.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.bool_or("more").alias("more"))
-    return pairs.join(tested, ["u", "v"], "left_anti")
+    def near(self, x: int) -> np.ndarray:
+        low = np.searchsorted(self.values, self.sets[x])
+        many = np.searchsorted(self.values, self.sets[x], side="right") - low
+        ends = np.cumsum(many)
+        if not len(ends) or not ends[-1]:
+            return np.zeros(0, np.int64)
+        at = np.arange(ends[-1]) + np.repeat(low - (ends - many), many)
+        both = np.bincount(self.owner[at], minlength=len(self.sets))
+        return np.flatnonzero((both > 0) & (100 * both >= self.percent * (self.sizes + self.sizes[x] - both)))
 
 
 def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,70 +192,113 @@ def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in part], pa.binary()) for i in (0, 1)], names=["u", "v"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, how: Sketch) -> DataFrame:
-    """The links among ``pairs``: the set of u is made once for a group of pairs, those of the v pass by."""
+def _linked(met: DataFrame, how: Sketch, compare: type) -> DataFrame:
+    """Links between the nodes of each ``key``: ``met`` has ``key, blocks, pivot, node`` and what ``compare`` reads."""
+    own = [c for c in met.columns if c not in ("blocks", "pivot")]
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _run(batches, lambda one: forest(one.num_rows, compare(one, how).near))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(one: pa.Table) -> list[tuple[int, int]]:
+            label = np.unique(np.array(one.column("group").to_pylist(), object), return_inverse=True)[1]
+            home, left = (np.flatnonzero(one.column(c).to_numpy()) for c in ("home", "left"))
+            return forest(one.num_rows, compare(one, how, home).near, left, label)
+
+        yield from _run(batches, links)
+
+    at = F.pmod(F.hash("node"), F.col("blocks"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    # Pivots stand first, and in every block.
+    first = met.select(*own, F.explode(F.when(F.col("pivot"), every).otherwise(F.array(at))).alias("block"), "pivot")
+    first = first.repartition("key", "block").sortWithinPartitions("key", "block", F.col("pivot").desc(), "node")
+    links = written(first.select("key", "block", *[c for c in own if c != "key"]).mapInArrow(inside, _LINKS).mapInArrow(union_find, _LINKS), "links")
+    large = met.where("blocks > 1")
+    if large.isEmpty():
+        return links
+    # Keys over the size of a block: what the blocks left apart.
+    group = connected_components(links).select("node", F.col("component").alias("group"))
+    parted = large.join(group, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    counts = parted.groupBy("key", "group").agg(F.count("*").alias("c")).groupBy("key")
+    open_ = counts.agg(F.count("*").alias("parts"), F.max(F.struct("c", "group")).alias("m")).where("parts > 1")
+    # The extra join key gives both sides a shuffle of their own, so that a large key can be split among tasks.
+    open_ = open_.select(F.hash("key").alias("k"), "key", F.col("m.group").alias("main"))
+    parted = parted.withColumn("k", F.hash("key")).join(open_, ["k", "key"])
+    left = (F.col("group") != F.col("main")).alias("left")
+    rows = parted.select(*own, "group", left, F.explode(F.when(F.col("group") != F.col("main"), every).otherwise(F.array(at))).alias("block"), at.alias("at"))
+    rows = rows.withColumn("home", F.col("at") == F.col("block")).drop("at")
+    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block")
+    rows = rows.select("key", "block", *[c for c in own if c != "key"], "group", "left", "home")
+    more = rows.mapInArrow(across, _LINKS).mapInArrow(union_find, _LINKS)
+    return links.unionByName(written(more, "links"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own, u, v = None, None, [], []
-        for batch in batches:
-            for a, salt, b, text in zip(*(batch.column(k) for k in range(4))):
-                key = (a.as_py(), salt.as_py())
-                if not b.is_valid:
-                    now, own = key, how.shingles(text.as_py())
-                elif key == now and how.linked(own, how.shingles(text.as_py())):
-                    u.append(key[0])
-                    v.append(b.as_py())
-            if len(u) > _FLUSH:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
-                u, v = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
-
-    # u is the one with the more pairs; many pairs of one u are dealt to several tasks.
-    degree = pairs.groupBy("u").agg(F.count("*").alias("d"))
-    salted = pairs.join(degree, "u").withColumn("salt", F.pmod(F.hash("v"), F.ceil(F.col("d") / BLOCK).cast("int")))
-    salted = written(salted.select("u", "v", "salt"), "pairs")
-    name = texts.select(F.hash("node").alias("k"), "node", "text")
-    others = salted.withColumn("k", F.hash("v")).join(name.withColumnRenamed("node", "v"), ["k", "v"]).select("u", "salt", "v", "text")
-    heads = salted.select("u", "salt").distinct().withColumn("k", F.hash("u"))
-    heads = heads.join(name.withColumnRenamed("node", "u"), ["k", "u"]).select("u", "salt", F.lit(None).cast("binary").alias("v"), "text")
-    rows = heads.unionByName(others).repartition("u", "salt").sortWithinPartitions("u", "salt", F.col("v").asc_nulls_first())
-    return rows.mapInArrow(run, _PAIRS).mapInArrow(union_find, _PAIRS)
-
-
-def near_groups(named: DataFrame, how: Sketch) -> DataFrame:
-    """``id, row, node, size, group`` of every row of ``named`` (``id, row, text``); equal ``group`` (a node): one group."""
+
+def _run(batches: Iterator[pa.RecordBatch], links: Callable[[pa.Table], list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+    u, v = [], []
+    batch = lambda: pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+    for one in _segments(batches):
+        if one.num_rows < 2:
+            continue
+        node = one.column("node").to_pylist()
+        for x, y in links(one):
+            u.append(node[x])
+            v.append(node[y])
+        if len(u) > _FLUSH:
+            yield batch()
+            u, v = [], []
+    yield batch()
+
+
+def _buckets(nodes: DataFrame, merge: bool) -> DataFrame:
+    """``key, blocks, pivot, node, size, sig`` of the nodes under each key."""
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    pivot = ((F.col("node") == F.col("first")) | (F.col("node") == F.col("last"))).alias("pivot")
+    counts = keyed.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("node").alias("first"), F.max("node").alias("last"), F.bit_xor(F.xxhash64("node")).alias("x")
+    )
+    if merge:
+        # Keys that gather the same nodes are one bucket, and those of one node are none.
+        shared = counts.where("n > 1").groupBy("n", "first", "last", "x").agg(F.min("key").alias("key"))
+        # The extra join key gives both sides a shuffle of their own, so that a frequent key can be split among tasks.
+        members = keyed.withColumn("k", F.hash("key")).join(shared.withColumn("k", F.hash("key")), ["k", "key"])
+        met = members.select("key", blocks, pivot, "node").join(nodes.select("node", "size", "sig"), "node")
+        return written(met.select("key", "blocks", "pivot", "node", "size", "sig"), "buckets")
+    large = written(counts.where(F.col("n") > BLOCK).select("key", "n", "first", "last"), "large-keys")
+    met = nodes.select(F.explode("keys").alias("key"), "node", "size", "sig")
+    if large.isEmpty():
+        return met.select("key", F.lit(1).alias("blocks"), F.lit(False).alias("pivot"), "node", "size", "sig")
+    met = met.join(large, "key", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    return met.select("key", blocks, F.coalesce(pivot, F.lit(False)).alias("pivot"), "node", "size", "sig")
+
+
+def near_groups(named: DataFrame, how: Sketch, *, merge: bool = True) -> DataFrame:
+    """``id, row, node, size, group`` of every row of ``named`` (``id, row, text``); equal ``group`` (a node): one group.
+
+    ``merge`` leaves out keys of one node and keys that gather the same nodes
+    before signatures travel; it pays where few keys are shared.
+    """
     own = written(sketched(named, how), "sketches")
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "size", "sig", "keys"))
     nodes = own.groupBy("node").agg(one.alias("f"))
     nodes = written(nodes.select("node", "f.id", "f.row", "f.size", "f.sig", "f.keys"), "nodes")
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
-    # Keys that gather the same nodes are one bucket.
-    same = [F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor(F.xxhash64("node")).alias("x")]
-    shared = keyed.groupBy("key").agg(*same).where("n > 1").groupBy("n", "low", "high", "x").agg(F.min("key").alias("key"))
-    # The extra join key gives both sides a shuffle of their own, so that a frequent key can be split among tasks.
-    shared = shared.select(F.hash("key").alias("k"), "key", "n", "low")
-    members = keyed.withColumn("k", F.hash("key")).join(shared, ["k", "key"]).select("key", "n", "low", "node")
-    met = written(members.join(nodes.select("node", "size", "sig"), "node"), "buckets")
-    wanted = met.select("node").distinct().join(nodes, "node").select("node", F.col("id").alias("__id"), F.col("row").alias("__row"))
+    met = _buckets(nodes, merge)
+    clusters = connected_components(_linked(met, how, Signatures)).select("node", F.xxhash64("component").alias("key"))
+
+    clusters = written(clusters.join(nodes.select("node", "size", "id", "row"), "node"), "clusters")
+    shape = clusters.groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+        F.min(F.struct("size", "node")).alias("least"), F.max(F.struct("size", "node")).alias("most"), F.min("node").alias("first"), F.max("node").alias("last"),
+    )
+    shape = shape.select(F.hash("key").alias("k"), "key", "blocks", F.array("first", "last", "least.node", "most.node").alias("pivots"))
+    placed = clusters.withColumn("k", F.hash("key")).join(shape, ["k", "key"])
+    placed = placed.select(
+        F.col("id").alias("__id"), F.col("row").alias("__row"), "key", "blocks", "node", F.array_contains("pivots", F.col("node")).alias("pivot")
+    )
     at = (F.col("row") == F.col("__row")) & F.col("id").eqNullSafe(F.col("__id"))
-    texts = named.join(wanted, at).select("node", F.col("text").cast("binary").alias("text")).dropDuplicates(["node"])
-    texts = written(texts, "texts")
-
-    pairs = written(_first_pairs(met, how), "tested")
-    tested = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = written(_confirmed(pairs, texts, how), "links")
-    most = FIRST
-    for _ in range(_MAX_ROUNDS):
-        group = written(connected_components(links).select("node", F.col("component").alias("group")), "groups")
-        fresh = written(_later_pairs(met, group, tested, most, how), "fresh")
-        left = fresh.agg(F.count("*").alias("n"), F.bool_or("more").alias("more")).first()
-        if left["n"]:
-            fresh = fresh.select("u", "v")
-            links = links.unionByName(written(_confirmed(fresh, texts, how), "links"))
-            tested = tested.unionByName(fresh)
-        elif not left["more"]:
-            break
-        most *= GROWTH
-    else:
-        raise RuntimeError(f"groups did not settle in {_MAX_ROUNDS} rounds")
+    texts = named.join(placed, at).select("key", "blocks", "pivot", "node", F.col("text").cast("binary").alias("text"))
+    # Rows equal in key and text stand for one node.
+    texts = written(texts.dropDuplicates(["node"]), "texts")
+    links = _linked(texts, how, Sets)
+    group = connected_components(links).select("node", F.col("component").alias("group"))
     return own.select("id", "row", "node", "size").join(group, "node", "left").withColumn("group", F.coalesce("group", "node"))

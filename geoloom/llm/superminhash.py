@@ -83,9 +83,9 @@ def superminhash(own: np.ndarray, places: int = PLACES) -> np.ndarray:
 
 
 def sketch(own: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> tuple[bytes, np.ndarray]:
-    """16 bits of every place, and the band keys (none for the empty set)."""
+    """8 bits of every place, and the band keys (none for the empty set)."""
     low = superminhash(own, bands * rows)
-    short = (mixed(low) >> np.uint64(48)).astype(np.uint16).tobytes()
+    short = (mixed(low) >> np.uint64(56)).astype(np.uint8).tobytes()
     if not len(own):
         return short, np.zeros(0, np.uint64)
     data = low.tobytes()
@@ -101,7 +101,7 @@ def alike(one: np.ndarray, many: np.ndarray, least: int) -> np.ndarray:
 def sketching(shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> Sketch:
     places, s = bands * rows, percent / 100
     least = max(1, math.floor(places * s - 5 * math.sqrt(places * s * (1 - s))))
-    return Sketch(partial(shingles, shingle=shingle), partial(sketch, bands=bands, rows=rows), np.dtype(np.uint16), partial(alike, least=least), percent)
+    return Sketch(partial(shingles, shingle=shingle), partial(sketch, bands=bands, rows=rows), np.dtype(np.uint8), partial(alike, least=least), percent)
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

@@ -1,6 +1,8 @@
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import frame, odd_documents, prose, with_clashes
 
@@ -75,7 +77,7 @@ def test_chain_of_edits_is_one_component(spark):
 
 def test_small_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(G, "BLOCK", 7)
-    monkeypatch.setattr(G, "FIRST", 1)
+    monkeypatch.setattr(G, "PIVOTS", 2)
     rng = random.Random(6)
     words = prose(rng, 200).split()
     rows = corpus() + [(5000 + k, edited(rng, words, 0.05), "en", "s", 1) for k in range(80)]
@@ -120,20 +122,30 @@ def test_early_stop_changes_nothing():
     assert S.superminhash(own, 40).tolist() == low
 
 
+def signatures(rows):
+    table = pa.table({"size": np.full(len(rows), 400), "sig": [r.tobytes() for r in rows]})
+    return G.Signatures(table, S.sketching())
+
+
 def test_many_unlike_sets_under_one_key():
     """A bucket of 2,000 unlike sets is a matter of its signatures."""
-    import time
-
-    how = S.sketching()
-    rng = np.random.default_rng(3)
-    sigs = rng.integers(0, 1 << 16, (2000, S.PLACES)).astype(np.uint16)
+    own = signatures(np.random.default_rng(3).integers(0, 256, (2000, S.PLACES)).astype(np.uint8))
     start = time.perf_counter()
-    assert G.leaders([b"%d" % k for k in range(2000)], np.full(2000, 400), sigs, how) == []
+    assert G.forest(2000, own.near) == []
     assert time.perf_counter() - start < 2
 
 
-def test_pairs_of_a_group_are_as_many_as_its_nodes():
-    how = S.sketching()
-    sigs = np.tile(np.arange(S.PLACES, dtype=np.uint16), (500, 1))
-    got = G.leaders([b"%d" % k for k in range(500)], np.full(500, 100), sigs, how)
-    assert len(got) == 1 and len(got[0][1]) == 499
+def test_links_of_a_group_are_as_many_as_its_nodes():
+    own = signatures(np.tile(np.arange(S.PLACES, dtype=np.uint8), (500, 1)))
+    assert len(G.forest(500, own.near)) == 499
+
+
+def test_sets_are_compared_exactly():
+    rng = random.Random(7)
+    words = prose(rng, 120).split()
+    texts = [edited(rng, words, 0.04) for _ in range(60)] + ["", "one"]
+    own = G.Sets(pa.table({"text": [t.encode() for t in texts]}), S.sketching())
+    for x, t in enumerate(texts):
+        a = brute_set(t)
+        want = [k for k, u in enumerate(texts) if a and brute_set(u) and 100 * len(a & brute_set(u)) >= 80 * len(a | brute_set(u))]
+        assert own.near(x).tolist() == want
