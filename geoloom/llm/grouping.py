@@ -296,7 +296,8 @@ def near_groups(named: DataFrame, how: Sketch, *, merge: bool = True) -> DataFra
         F.col("id").alias("__id"), F.col("row").alias("__row"), "key", "blocks", "node", F.array_contains("pivots", F.col("node")).alias("pivot")
     )
     at = (F.col("row") == F.col("__row")) & F.col("id").eqNullSafe(F.col("__id"))
-    texts = named.join(placed, at).select("key", "blocks", "pivot", "node", F.col("text").cast("binary").alias("text"))
+    # The same plan at every size: a broadcast would spare small inputs the shuffle of the texts.
+    texts = named.join(placed.hint("merge"), at).select("key", "blocks", "pivot", "node", F.col("text").cast("binary").alias("text"))
     # Rows equal in key and text stand for one node.
     texts = written(texts.dropDuplicates(["node"]), "texts")
     links = _linked(texts, how, Sets)
