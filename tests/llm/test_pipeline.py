@@ -4,7 +4,7 @@ import pytest
 from helpers import frame, junk, odd_documents, prose
 from test_linededup import brute as brute_lines
 from test_mixing import words
-from test_simhash import brute_components, brute_fingerprint
+from test_similar import brute_groups, brute_set
 
 import __spark_entry__ as entry
 import corpus_pipeline as P
@@ -55,9 +55,9 @@ def test_stages_against_brute_force(spark, tables, tmp_path):
     lines = [(r["doc_id"], *want[tuple(r)]) for r in hashed]
     assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in rows[2]))) == sorted(map(repr, ((i, t) for i, t, n in lines if not n or words(t))))
     assert all(r["n_chars"] == len(r["text"]) for r in rows[2] if r["doc_id"] in range(401, 410))
-    # near duplicates: one of each group
-    part = brute_components([brute_fingerprint(r["text"]) for r in rows[2]], 4)
-    assert len(rows[3]) == len(set(part.values())) == len({part[brute_fingerprint(r["text"])] for r in rows[3]})
+    # near duplicates: one of each group of five-word similarity 0.8
+    part = brute_groups([r["text"] for r in rows[2]])
+    assert len(rows[3]) == len(set(part.values())) == len({part[brute_set(r["text"])] for r in rows[3]})
     # mixing: a part of the documents, at most the share of the tokens
     texts = {(r["doc_id"], r["text"]) for r in rows[3]}
     assert len(rows[4]) < len(rows[3]) and {(r["doc_id"], r["text"]) for r in rows[4]} <= texts

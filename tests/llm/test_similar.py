@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 from helpers import frame, odd_documents, prose, with_clashes
 
 import corpus_pipeline as P
@@ -67,11 +69,37 @@ def test_stage_drops_near_copies_that_differ_in_many_bits(spark):
     assert kept == {2 * k for k in range(60)} | {2 * k + 1 for k in range(60) if k not in close}
 
 
-def test_a_group_of_near_copies_gives_no_pairs():
-    rng = random.Random(14)
-    words = prose(rng, 300).split()
-    sets = [S.shingles(edited(rng, words, 0.002).encode()) for _ in range(300)]
-    assert len(S.forest(sets, 0.8)) == 299
+def test_candidates_by_similarity(spark):
+    """Recall of the segments and the ring alone, on random pairs by their exact similarity."""
+    rng = np.random.default_rng(15)
+    how, found, every = S.sketching(), Counter(), Counter()
+    for _ in range(1500):
+        n = int(rng.integers(80, 600))
+        common = rng.integers(0, 1 << 63, n)
+        extra = int(n * rng.uniform(0.02, 0.13))
+        a, b = (np.unique(np.concatenate([common, rng.integers(0, 1 << 63, extra)]).astype(np.uint64)) for _ in range(2))
+        s = n / (n + 2 * extra)
+        if s < 0.8:
+            continue
+        (x, k), (y, m) = S.sketch(a), S.sketch(b)
+        meet = bool((k == m).any()) and how.alike(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)[None])[0] >= 0
+        band = "0.80" if s < 0.85 else "0.85" if s < 0.9 else "0.90"
+        every[band] += 1
+        found[band] += meet
+    share = {b: found[b] / every[b] for b in every}
+    assert min(every.values()) > 100 and share["0.80"] >= 0.9 and share["0.85"] >= 0.96 and share["0.90"] >= 0.99, share
+
+
+def test_ring_is_the_plain_definition():
+    rng = np.random.default_rng(16)
+    one = rng.integers(0, 1 << 16, S.RING).astype(np.uint16)
+    bits = lambda x: [int(v).bit_count() for v in x]
+    many = np.array([one ^ np.array([(rng.random(16) < p) @ (1 << np.arange(16)) for _ in range(S.RING)], np.uint16) for p in rng.uniform(0, 0.3, 300)])
+    most = S.threshold()
+    for score, other in zip(S.alike(one, many, most), many):
+        d = bits(one ^ other)
+        chains = any(all(sum((d + d)[i : i + n]) <= n * most // S.RING for n in range(1, S.RING + 1)) for i in range(S.RING))
+        assert chains == (sum(d) <= most) == (score >= 0) and (score < 0 or score == most - sum(d))
 
 
 def test_empty_table(spark):
