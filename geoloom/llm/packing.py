@@ -5,7 +5,7 @@
 2. ``pack_plan`` packs the histogram of piece lengths (at most ``capacity``
    counts, whatever the number of documents): every bin is filled greedily,
    largest piece first, then its smallest piece gives way to two unpacked ones
-   that fit the expanded gap more tightly. Equal bins are planned once, with a
+   that fit the expanded gap more tightly, from the point on where that costs no bins. Equal bins are planned once, with a
    multiplicity.
 3. ``pack`` ranks the pieces of each length (prefix sums over hash blocks, so
    no task sees a whole length class) and looks the rank up in the plan.
@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from geoloom.llm.common import free_name, prefix_offsets, written
+from geoloom.llm.common import prefix_offsets, written
 
 CAPACITY = 1024
 END_ID = 2
 #: Rows of one length that share a block of the rank computation.
 RANK_BLOCK = 4_096
+#: Shares of the tokens left from which on plans make swaps; the last is the plain greedy plan.
+SWAP_FROM = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.003, 0.0)
 #: Texts in these scripts take the fast encoder; all others go to the tokenizer of the file itself.
 FAST_TEXT = re.compile(r"[^\x00-ɏ]")
 
@@ -44,15 +46,15 @@ def encoder(path: str):
     """Function from a text to the ids that the tokenizer file gives it.
 
     The file's merges are ranked by id, so the same vocabulary serves as rank
-    table for the faster byte-pair encoder. The two split alike as long as their
-    tables of letters agree, which Latin text guarantees; other texts are
-    encoded by the file's own tokenizer. The start-up probe compares both.
+    table for the faster byte-pair encoder (``tiktoken``). The two split alike as
+    long as their tables of letters agree, which Latin text guarantees; other
+    texts, and those that hold an added token, are encoded by the file's own
+    tokenizer with its defaults. The start-up probe compares both.
     """
     import tiktoken
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
 
     def slow(text: str) -> list[int]:
         return own.encode(text, add_special_tokens=False).ids
@@ -74,7 +76,8 @@ def encoder(path: str):
     probe = "It's  two\n\n lines,\t3rd ²½ naïve; I'LL we'll  x\u0085 #%&|<> été—ŷɏ 2024!"
     if fast.encode_ordinary(probe) != slow(probe):
         return slow
-    return lambda text: slow(text) if FAST_TEXT.search(text) else fast.encode_ordinary(text)
+    odd = re.compile("|".join([FAST_TEXT.pattern, *map(re.escape, sorted(special))]))
+    return lambda text: slow(text) if odd.search(text) else fast.encode_ordinary(text)
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -127,33 +130,42 @@ def token_pieces(
 
 
 def pack_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Bins as (piece lengths, number of equal bins), by best-two-fit over the histogram ``counts``.
+    """Bins as (piece lengths, number of equal bins), by best-two-fit over the histogram ``counts``."""
+    return best_plan(counts, capacity)[0]
 
-    Swaps spend short pieces early, which costs bins where many pieces are
-    longer than half a bin. Planning works on at most ``capacity`` counts, so it
-    is done three times: with every swap that narrows a gap, with those that
-    close it, and with none; the plan of fewest bins counts, the first of equals.
+
+def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[list[int], int]], int]:
+    """The plan and its number of bins with a swap.
+
+    A swap spends two short pieces, which a later bin with a large piece could
+    need; once such bins are filled it costs nothing. Planning works on at most
+    ``capacity`` counts, so it is tried with swaps from the start and from later
+    points on, given by the share of the tokens still unpacked. The plan of
+    fewest bins counts, of equals the one with the most swaps.
     """
     for length in counts:
         if not 1 <= length <= capacity:
             raise ValueError(f"piece of {length} tokens does not fit {capacity}")
-    plans = [_planned(counts, capacity, gap) for gap in (capacity, 0, -1)]
-    return min(plans, key=lambda plan: sum(times for _, times in plan))
+    plans = [_planned(counts, capacity, gap, share) for share in SWAP_FROM for gap in (capacity, 0)]
+    return min(plans, key=lambda plan: (sum(times for _, times in plan[0]), -plan[1]))
 
 
-def _planned(counts: dict[int, int], capacity: int, gap: int) -> list[tuple[list[int], int]]:
-    """One plan; swaps may leave a gap of at most ``gap``."""
+def _planned(counts: dict[int, int], capacity: int, gap: int, share: float) -> tuple[list[tuple[list[int], int]], int]:
+    """One plan and its swapped bins; swaps begin at ``share`` of the tokens and may leave a gap of at most ``gap``."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] += n
-    bins = []
+    sizes, bins, swapped = np.arange(capacity + 1), [], 0
+    begin = share * (sizes @ left)
     while left.any():
-        items = _two_for_smallest(_greedy(left, capacity), left, capacity, gap)
+        greedy = _greedy(left, capacity)
+        items = _two_for_smallest(greedy, left, capacity, gap) if sizes @ left <= begin else greedy
         used = np.bincount(items, minlength=capacity + 1)
         times = int((left[used > 0] // used[used > 0]).min())
         left -= used * times
         bins.append((items, times))
-    return bins
+        swapped += times * (items is not greedy)
+    return bins, swapped
 
 
 def _greedy(left: np.ndarray, capacity: int) -> list[int]:
@@ -172,7 +184,7 @@ def _two_for_smallest(items: list[int], left: np.ndarray, capacity: int, most: i
     """Swap the smallest piece of a bin for the two unpacked pieces that leave the least gap, at most ``most``, while that helps."""
     while True:
         gap = capacity - sum(items)
-        if gap == 0 or most < 0:
+        if gap == 0:
             return items
         smallest = min(items)
         kept = items.copy()
@@ -201,7 +213,6 @@ def pack(pieces: DataFrame, *, length: str = "length", order: list[str], capacit
     Lengths outside 1..capacity (nulls included) raise an error.
     """
     spark = pieces.sparkSession
-    size, block, rank = (free_name(pieces, n) for n in ("__size", "__part", "__rank"))
     histogram = pieces.groupBy(F.col(length).alias("length")).agg(F.count("*").alias("n")).collect()
     if any(r["length"] is None for r in histogram):
         raise ValueError("a piece has no length")
@@ -220,22 +231,21 @@ def pack(pieces: DataFrame, *, length: str = "length", order: list[str], capacit
     plan_df = spark.createDataFrame(rows, plan_schema)
     blocks = max(1, max(counts.values(), default=1) // rank_block)
     part = F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("bigint")
-    keyed = pieces.withColumn(size, F.col(length).cast("bigint")).withColumn(block, part)
-    sums = keyed.groupBy(F.col(size).alias("o_length"), F.col(block).alias("o_part")).agg(F.count("*").alias("n"))
+    # The pieces' own columns stay in a struct, apart from those made here.
+    keyed = pieces.select(F.struct(*pieces.columns).alias("row"), F.col(length).cast("bigint").alias("size"), part.alias("part"))
+    sums = keyed.groupBy(F.col("size").alias("o_length"), F.col("part").alias("o_part")).agg(F.count("*").alias("n"))
     sums = prefix_offsets(sums, ["o_length"], "o_part", "n", "o_first")
-    local = F.row_number().over(W.partitionBy(size, block).orderBy(*order)) - 1
-    ranked = keyed.withColumn(rank, local).join(
-        sums, (F.col(size) == F.col("o_length")) & (F.col(block) == F.col("o_part"))
-    )
-    ranked = ranked.withColumn(rank, F.col(rank) + F.col("o_first")).drop("o_length", "o_part", "o_first", "n")
+    local = F.row_number().over(W.partitionBy("size", "part").orderBy(*[F.col("row")[c] for c in order])) - 1
+    ranked = keyed.withColumn("local", local).join(sums, (F.col("size") == F.col("o_length")) & (F.col("part") == F.col("o_part")))
+    ranked = ranked.select("row", "size", (F.col("local") + F.col("o_first")).alias("rank"))
     # The plan has at most a few thousand rows: its size depends on the capacity, not on the input.
     found = ranked.join(
         F.broadcast(plan_df),
-        (F.col(size) == F.col("p_length")) & (F.col(rank) >= F.col("rank_from")) & (F.col(rank) < F.col("rank_to")),
+        (F.col("size") == F.col("p_length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to")),
     )
     return found.select(
-        *pieces.columns,
-        (F.col("first_seq") + F.col(rank) - F.col("rank_from")).alias("sequence_id"),
+        *[F.col("row")[c].alias(c) for c in pieces.columns if c not in ("sequence_id", "offset")],
+        (F.col("first_seq") + F.col("rank") - F.col("rank_from")).alias("sequence_id"),
         F.col("p_offset").alias("offset"),
     )
 

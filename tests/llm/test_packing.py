@@ -16,7 +16,6 @@ from geoloom.llm.query_packing import default_tokenizer
 @pytest.fixture(scope="module")
 def tokenizer():
     own = Tokenizer.from_file(default_tokenizer())
-    own.encode_special_tokens = True
     return lambda t: own.encode(t, add_special_tokens=False).ids
 
 
@@ -34,6 +33,11 @@ def test_fast_encoder_agrees_on_random_texts(tokenizer, text):
     assert P.encoder(default_tokenizer())(text) == tokenizer(text)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", " <|endoftext|><|endoftext|> x", "<|endoftext", "é<|endoftext|>\n\n日"])
+def test_added_tokens(tokenizer, text):
+    assert P.encoder(default_tokenizer())(text) == tokenizer(text)
+
+
 def check_bins(counts, plan, capacity):
     used = Counter()
     for items, times in plan:
@@ -67,6 +71,18 @@ def test_two_pieces_replace_the_smallest():
     assert sorted(P._two_for_smallest([60, 30], left, 100, 100)) == [20, 20, 60]
 
 
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_swaps_pay(times):
+    """The plan that counts has swaps, and no more bins than the greedy one without."""
+    rng = random.Random(17)
+    counts = Counter(min(1024, int(rng.lognormvariate(5.5, 1))) + 1 for _ in range(4000))
+    counts = {min(1024, k): v * times for k, v in counts.items()}
+    plan, swapped = P.best_plan(counts)
+    check_bins(counts, plan, 1024)
+    greedy, none = P._planned(counts, 1024, 0, 0.0)
+    assert none == 0 and swapped > 0 and sum(t for _, t in plan) <= sum(t for _, t in greedy)
+
+
 def test_large_histograms_plan_quickly_and_tightly():
     rng = random.Random(1)
     counts = {k: int(10**9 * rng.random() ** 3 / k**0.5) for k in range(1, 1025)}
