@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoloom.llm.common import prefix_offsets, utf8_bytes, written
+from geoloom.llm.common import free_name, prefix_offsets, utf8_bytes, written
 
 BUCKET_BYTES = 32_000_000
 SEED = 42
@@ -55,10 +55,11 @@ def scattered(docs: DataFrame, *, key: str = "doc_id", text: str = "text", seed:
 
 def shuffled(rows: DataFrame, *, shards: int, seed: int = SEED) -> DataFrame:
     """Pass 2: every bucket of ``scattered`` in a random order, dealt out from the place where the bucket begins."""
-    counts = rows.groupBy(F.col("bucket").alias("b")).agg(F.count("*").alias("n"))
-    before = prefix_offsets(counts, [], "b", "n", "position").select("b", "position")
+    mine = free_name(rows, "__bucket")
+    counts = rows.groupBy(F.col("bucket").alias(mine)).agg(F.count("*").alias("n"))
+    before = prefix_offsets(counts, [], mine, "n", "position").select(mine, "position")
     # Joined before the grouping, whose shuffle then serves both.
-    placed = rows.join(before, F.col("bucket") == F.col("b")).drop("b")
+    placed = rows.join(before, F.col("bucket") == F.col(mine)).drop(mine)
     names = [c for c in rows.columns if c not in _OWN]
     fields = [*(rows.schema[c] for c in names), T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())]
 
