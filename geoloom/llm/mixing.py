@@ -94,11 +94,11 @@ def mixed(docs: DataFrame, weights: Weights, *, budget: int | None = None, share
     columns named in ``weights`` must be in ``docs``.
     """
     levels = [name for name, _ in weights]
-    named = docs.drop(*[c for c in docs.columns if c.lower() in ("epoch", "tokens")])
+    kept = [c for c in docs.columns if c.lower() not in ("epoch", "tokens")]
     count = words(F.col(text)) if tokens is None else tokens
     own = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text), F.lit("")))))
     leaf = {f"__{n}": F.coalesce(F.col(n).cast("string"), F.lit("")) for n in levels}
-    light = named.select(*[c.alias(n) for n, c in leaf.items()], own.alias("own"), count.alias("tokens"))
+    light = docs.select(*[c.alias(n) for n, c in leaf.items()], own.alias("own"), count.alias("tokens"))
     light = written(light, "mix")  # keys and counts only
     leaves = light.groupBy(*leaf).agg(F.sum("tokens").alias("tokens"))
     total = budget
@@ -119,7 +119,10 @@ def mixed(docs: DataFrame, weights: Weights, *, budget: int | None = None, share
     upto = placed.withColumn("upto", F.sum("tokens").over(inside)).join(before, [*leaf, "block"])
     ends = upto.where("upto + before <= rest").groupBy(*leaf).agg(F.max("place").alias("end"))
     plan = written(plan.join(ends, list(leaf), "left"), "mix-plan")
-    rows = named.withColumns({**leaf, "__own": own}).join(plan, list(leaf))
-    times = F.col("epochs") + F.when((F.col("epochs") < max_epochs) & (order(F.col("__own")) <= F.col("end")), 1).otherwise(0)
-    rows = rows.withColumn("__times", times.cast("int")).where("__times > 0")
-    return rows.select(*named.columns, F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias("epoch"), count.alias("tokens"))
+    # The documents' own columns stay in a struct, apart from those made here.
+    rows = docs.select(F.struct(*kept).alias("row"), *[c.alias(n) for n, c in leaf.items()], own.alias("own"), count.alias("tokens"))
+    rows = rows.join(plan, list(leaf))
+    times = F.col("epochs") + F.when((F.col("epochs") < max_epochs) & (order(F.col("own")) <= F.col("end")), 1).otherwise(0)
+    rows = rows.withColumn("times", times.cast("int")).where("times > 0")
+    epoch = F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("epoch")
+    return rows.select(*[F.col("row")[c].alias(c) for c in kept], epoch, "tokens")

@@ -6,7 +6,7 @@ import random
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Results and helper columns of the operators, as columns of the input.
-CLASHES = ("score", "predicted", "kept", "fp", "row", "id", "ids", "length", "piece", "shard", "slot", "bucket", "tokens", "epoch", "text_crc32", "removed_lines", "llr", "n", "h")
+CLASHES = ("score", "predicted", "kept", "fp", "row", "id", "ids", "length", "piece", "shard", "slot", "bucket", "tokens", "epoch", "text_crc32", "removed_lines", "llr", "n", "h", "b", "position", "epochs", "rest", "end", "own", "times", "o_first", "o_length", "o_part", "size", "part", "rank", "rank_from", "p_length", "first_seq", "local", "k", "key", "node", "group", "block", "pivot", "sig", "keys", "start", "stop", "place")
 
 SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it".split()
 
