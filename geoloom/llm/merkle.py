@@ -163,9 +163,10 @@ def proofs(made: Manifest, requests: DataFrame) -> DataFrame:
         wanted = asked.select(whole, F.expr(f"place div {FAN ** (level - 1)}").alias("idx")).distinct()
         frontier = _descend(frontier, made.top[level - 1], wanted)
     at = made.groups.alias("g").join(frontier.alias("f"), F.col("g.place") == F.col("f.idx"))
-    frontier = at.select("g.group", "g.n", F.lit(0).cast("bigint").alias("idx"), "f.digest", "f.path")
+    # One row for each group that is asked for; written, since every level below takes some of them.
+    waiting = written(at.select("g.group", "g.n", F.lit(0).cast("bigint").alias("idx"), "f.digest", "f.path"), "group-paths")
     # From the group roots to the records over the leaves; smaller groups join in where their root stands.
-    waiting, deepest = frontier, len(made.levels)
+    deepest = len(made.levels)
     going = waiting.where(F.lit(False))
     for level in range(deepest, 1, -1):
         enters = _levels_above(F.col("n"), level) & ~_levels_above(F.col("n"), level + 1)
