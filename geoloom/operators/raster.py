@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from geoloom import params as P
 from geoloom.functions import measure as M
+from geoloom.operators import edgecells as EC
 from geoloom.operators.ordering import stride_sample
 from geoloom.operators.skew import cut_lineage
 from geoloom.operators.spatial import (
@@ -251,7 +252,9 @@ def classify_cells(
     valid = valid_cells(base, bbox).withColumn("height", F.col("surface_z") - F.col("ground_z"))
     no, yes = F.lit(False), F.lit(True)
     buffer_m = P.FOOTPRINT_BUFFER_M if canopy is not None else 0.0
-    hits = footprint_hits(valid, polygons, key=ids, on=on, buffer_m=buffer_m).withColumns({"vegetation": no, "tagged": no})
+    # Footprints matter from the lowest height that any class below asks for.
+    high = valid.where(F.col("height") >= min(P.BUILDING_HEIGHT_M, P.TREE_HEIGHT_M))
+    hits = footprint_hits(high, polygons, key=ids, on=on, buffer_m=buffer_m).withColumns({"vegetation": no, "tagged": no})
     if canopy is not None:
         tall = valid.where(F.col("height") >= P.TREE_HEIGHT_M)
         flag = lambda df, name: df.select(
@@ -369,7 +372,8 @@ def zonal_heights(
         right_box=POLY_BOX,
         cell=P.INDEX_CELL_M,
         on=on,
-        residual=M.point_in_polygon("polygon", "x", "y"),
+        residual=EC.inside("x", "y"),
+        polygon="polygon",
         left_id=("cell_x", "cell_y"),
         right_id=[k for k in key if k not in on],
     )

@@ -6,6 +6,8 @@ is an equi-join on grid cells followed by the exact predicate:
 * a point falls into exactly one cell, a box into every cell it touches;
 * a pair of boxes is reported only in the cell holding the lower corner of
   their overlap, so no de-duplication shuffle is needed;
+* a polygon is sent to a cell as the edges there and the side of the cell's
+  reference point (``edgecells``), never whole;
 * cells that hold very many rows are *split*: the grid is refined inside them
   (both sides shrink) and what remains is salted in both directions, so one
   crowded square or one pile of identical positions never becomes one task.
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import measure as M
+from geoloom.operators import edgecells as EC
 from geoloom.params import FOOTPRINT_BUFFER_M, INDEX_CELL_M, TREE_TAG_RADIUS_M
 
 HOT_ROWS = 200_000
@@ -115,18 +118,29 @@ def box_join(
     left_id: Sequence[str] = (),
     right_id: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
+    polygon: str | None = None,
 ) -> DataFrame:
     """Every pair whose boxes overlap (bounds inclusive, right box padded), exactly once.
 
     ``on`` are further equality keys present on both sides; all other column
     names must differ. ``residual`` is an exact predicate on the pair. With
     ``how="left_semi"`` the left side must be points and is returned unchanged.
+    ``polygon`` names the right side's geometry; with points on the left it
+    travels as what each cell needs of it (column ``_local``, see ``edgecells``),
+    and pairs in cells outside of it, padding included, are left out.
     """
+    if polygon is not None and not _is_point(left_box, 0.0):
+        raise ValueError("polygons by cells need points on the left")
     if how == "left_semi" and not _is_point(left_box, 0.0):
         raise ValueError("a semi join needs points on the left")
     keys = [*on, "_gx", "_gy"]
     lc = with_cells(left, left_box, cell)
-    rc = with_cells(right, right_box, cell, pad)
+    if polygon is None:
+        rc = with_cells(right, right_box, cell, pad)
+    else:
+        x0, y0, x1, y1 = _corners(right_box, pad)
+        rc = EC.by_rows(EC.with_edges(right, polygon), y0, y1, cell, pad)
+        rc = rc.withColumn("_gx", F.explode(F.sequence(F.floor(x0 / cell), F.floor(x1 / cell))))
     join_keys = list(keys)
     if hot_rows is not None:
         hot = F.broadcast(crowded_cells([lc, rc], keys, hot_rows))
@@ -141,6 +155,8 @@ def box_join(
             for side in (lc, rc)
         )
         lc, rc = _refine(lc, left_box, cell, 0.0), _refine(rc, right_box, cell, pad)
+        if polygon is not None:
+            rc = EC.localized(rc, "_fx", "_fy", cell / grid_scale(), pad)
         spread = lambda cols, s: F.pmod(F.xxhash64(*cols), F.col(s)).cast("int")
         every = lambda s: F.explode(F.sequence(F.lit(0), F.col(s) - 1))
         lc = lc.withColumn("_t0", spread([*left_box, *left_id], "_s0"))
@@ -155,6 +171,8 @@ def box_join(
         lc, rc = lc.drop("_s0", "_s1", "_gx", "_gy"), rc.drop("_s0", "_s1", "_gx", "_gy")
     else:
         fx, fy, scale = "_gx", "_gy", F.lit(1)
+        if polygon is not None:
+            rc = EC.localized(rc, "_gx", "_gy", F.lit(float(cell)), pad)
 
     renamed = rc.select(*[F.col(c).alias(f"_r_{c}") if c in join_keys else F.col(c) for c in rc.columns])
     lx0, ly0, lx1, ly1 = _corners(left_box, 0.0)
@@ -221,7 +239,8 @@ def points_in_polygons(
         right_box=POLY_BOX,
         cell=cell,
         on=on,
-        residual=M.point_in_polygon("polygon", *xy),
+        residual=EC.inside(*xy),
+        polygon="polygon",
         how="left_semi",
         left_id=point_id,
         hot_rows=hot_rows,
@@ -250,7 +269,8 @@ def points_near_polygons(
         cell=cell,
         on=on,
         pad=buffer_m,
-        residual=M.near_boundary("polygon", *xy, buffer_m),
+        residual=EC.near_edge(*xy, buffer_m),
+        polygon="polygon",
         how="left_semi",
         left_id=point_id,
         hot_rows=hot_rows,
@@ -269,8 +289,8 @@ def footprint_hits(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Points in or near a polygon: ``on, key, inside, near`` from one spatial join (others are absent)."""
-    inside = M.point_in_polygon("polygon", *xy)
-    near = M.near_boundary("polygon", *xy, buffer_m) if buffer_m > 0.0 else F.lit(False)
+    inside = EC.inside(*xy)
+    near = EC.near_edge(*xy, buffer_m) if buffer_m > 0.0 else F.lit(False)
     pairs = box_join(
         points.select(*dict.fromkeys([*on, *key, *xy])),
         distinct_polygons(polygons, on),
@@ -279,6 +299,8 @@ def footprint_hits(
         cell=cell,
         on=on,
         pad=buffer_m,
+        residual=inside | near,
+        polygon="polygon",
         left_id=key,
         hot_rows=hot_rows,
     )
