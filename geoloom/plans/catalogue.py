@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.plans import catalog_features, catalog_instances, catalog_overlay, catalog_raster  # noqa: F401
+from geoloom.plans import catalog_features, catalog_instances, catalog_overlay, catalog_raster, catalog_sources  # noqa: F401
 from geoloom.plans.registry import ORACLES, QUERIES
 
 

@@ -7,8 +7,10 @@ the header in its own part, so no task ever holds a whole export.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,39 @@ def write_geojson(features: DataFrame, path: str, *, crs: str | None = None, par
     writer.text(path)
 
 
+def put_file(path: str, data: bytes) -> None:
+    """Write one named file from a task; the same call again leaves the same file."""
+    if path.startswith("file:"):
+        store, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    elif "://" in path:
+        store, name = fs.FileSystem.from_uri("s3" + path[3:] if path.startswith("s3a:") else path)
+    else:
+        store, name = fs.LocalFileSystem(), path
+    store.create_dir(name.rpartition("/")[0], recursive=True)
+    with store.open_output_stream(name) as out:
+        out.write(data)
+
+
+def write_collections(features: DataFrame, path: str, *, crs: str | None = None) -> None:
+    """GeoJSON feature collections: every file of the folder is a whole one."""
+
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = lambda text: pa.RecordBatch.from_arrays([pa.array(text, pa.string())], names=["value"])
+        begun = False
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            if rows:
+                # Each line but the first begins with the comma that parts it from the one before.
+                head = [] if begun else ['{"type":"FeatureCollection","features":[']
+                first = rows[:1] if not begun else ["," + rows[0]]
+                yield line([*head, *first, *("," + r for r in rows[1:])])
+                begun = True
+        if begun:
+            yield line(["]}"])
+
+    geojson_lines(features, crs).mapInArrow(framed, "value string").write.mode("overwrite").text(path)
+
+
 def region_name(zone: Column) -> Column:
     """Output region of a zone: ``full_region``, ``inner_region`` or ``annular_region``."""
     return F.concat(zone, F.lit("_region"))
@@ -136,6 +171,22 @@ def write_stl(triangles: DataFrame, path: str, solid: str, *, decimals: int = 3)
     )
 
 
+def write_stl_regions(triangles: DataFrame, path: str, solid: str, order: Sequence[str], *, decimals: int = 3) -> None:
+    """All solids in one file, in the given order; each as ``write_stl`` writes it, an empty one too.
+
+    The format wants one file: its lines are sorted in ranges by many tasks, and
+    one task strings the ranges together without holding them.
+    """
+    spark = triangles.sparkSession
+    names = spark.createDataFrame([(k, n) for k, n in enumerate(order)], "_place int, _name string")
+    framed = lambda part, word: names.select("_place", F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("tri_no"), F.concat(F.lit(f"{word} "), "_name").alias("value"))
+    facets = stl_facets(triangles.where(F.col(solid).isin(*order)), decimals=decimals, keep=[solid])
+    facets = facets.join(F.broadcast(names), F.col(solid) == F.col("_name")).select("_place", F.lit(1).alias("part"), "tri_no", "value")
+    lines = framed(0, "solid").unionByName(facets).unionByName(framed(2, "endsolid"))
+    keys = ["_place", "part", "tri_no"]
+    lines.repartitionByRange(*keys).sortWithinPartitions(*keys).select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
 def combined_obj_lines(vertices: DataFrame, faces: DataFrame, sources: DataFrame) -> DataFrame:
     """Meshes of several sources as one OBJ: face references moved behind the vertices of earlier sources.
 
