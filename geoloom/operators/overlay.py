@@ -24,11 +24,13 @@ from geoloom.operators import sweep as S
 from geoloom.operators.ordering import blocked_ordinal
 from geoloom.operators.rings import outlines
 from geoloom.operators.skew import connected_components, cut_lineage, lookup_join
-from geoloom.operators.spatial import _refine, box_join, crowded_cells, with_cells
+from geoloom.operators.spatial import _refine, box_join, crowded_cells
 from geoloom.params import LAYER_SEGMENTS, MIN_OVERLAP_M2, MIN_SURFACE_M2, ROI_SEGMENTS, Region
 
 TILE_M = 128.0
 HOT_EDGES = 50_000
+#: Tiles between the outer columns of a geometry from which on its edges go to their own tiles only.
+WIDE = 4
 TILE_KEYS = ["_depth", "_fx", "_fy"]
 
 
@@ -65,16 +67,89 @@ def edge_rows(polygons: DataFrame, parts: str = "parts") -> DataFrame:
 EDGE_BOX = ("ex0", "ey0", "ex1", "ey1")
 
 
+def backdrop(columns: tuple[int, int], first: np.ndarray, last: np.ndarray, ya: np.ndarray, yb: np.ndarray) -> list[tuple[int, int, float, float]]:
+    """(column, side, y, y): the stretches of the tile sides of one row that lie inside a polygon.
+
+    An edge in the columns ``first`` to ``last`` counts at the left side (0) of the
+    tiles behind it and at the right side (1) of those before it. Two stretches
+    that meet cancel their common end, so a stretch is known by the ends that an
+    odd number of edges have, and it changes only where an edge begins or ends.
+    """
+    out: list[tuple[int, int, float, float]] = []
+    for side in (0, 1):
+        # Walk away from the edges' own tiles: to the right for the left sides, to the left for the right ones.
+        at = last + 1 if side == 0 else first - 1
+        order = np.argsort(at if side == 0 else -at, kind="stable")
+        steps, k, ends = at[order].tolist(), 0, set()
+        column, stop, step = (columns[0], columns[1] + 1, 1) if side == 0 else (columns[1], columns[0] - 1, -1)
+        while column != stop:
+            while k < len(order) and (steps[k] - column) * step <= 0:
+                e = order[k]
+                ends ^= {float(ya[e]), float(yb[e])} if ya[e] != yb[e] else set()
+                k += 1
+            until = steps[k] if k < len(order) else stop
+            until = min(until, stop) if step > 0 else max(until, stop)
+            if ends:
+                y = sorted(ends)
+                spans = list(zip(y[::2], y[1::2]))
+                out += [(c, side, lo, hi) for c in range(column, until, step) for lo, hi in spans]
+            column = until
+    return out
+
+
+def _base_tiles(edges: DataFrame, tile: float) -> DataFrame:
+    """Edge rows in the base tiles ``_gx, _gy`` in which they count.
+
+    The edges of a narrow geometry go to all tiles across its width. Those of a
+    wide one go to the tiles they touch, and its other tiles get the stretches
+    of :func:`backdrop`, so its rows are as many as its edges and tiles together.
+    """
+    others = [c for c in edges.columns if c not in ("ax", "ay", "bx", "by", *EDGE_BOX)]
+    low, high = F.floor(F.col("ex0") / tile), F.floor(F.col("ex1") / tile)
+    wide = high - low >= WIDE
+    rows = edges.withColumn("_gy", F.explode(F.sequence(F.floor(F.col("ey0") / tile), F.floor(F.col("ey1") / tile))))
+    rows = rows.where((F.col("ey1") > F.col("_gy") * tile) & (F.col("ey0") < (F.col("_gy") + 1) * tile))
+    clip = lambda y: F.greatest(F.col("_gy") * tile, F.least((F.col("_gy") + 1) * tile, F.col(y)))
+    slope = (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
+    at = lambda y, p: F.when(y == F.col(f"{p}y"), F.col(f"{p}x")).otherwise(F.col("ax") + (y - F.col("ay")) * slope)
+    rows = rows.withColumns({"_ya": clip("ay"), "_yb": clip("by")})
+    rows = rows.withColumns({"_xa": at(F.col("_ya"), "a"), "_xb": at(F.col("_yb"), "b")})
+    first, last = F.floor(F.least("_xa", "_xb") / tile), F.floor(F.greatest("_xa", "_xb") / tile)
+    placed = rows.withColumn("_gx", F.explode(F.sequence(F.when(wide, first).otherwise(low), F.when(wide, last).otherwise(high))))
+    own = lambda cut, whole: F.when(wide, cut).otherwise(F.col(whole)).alias(whole)
+    side = [own(F.col("_gx") * tile, "ex0"), own(F.least("_ya", "_yb"), "ey0"), own((F.col("_gx") + 1) * tile, "ex1"), own(F.greatest("_ya", "_yb"), "ey1")]
+    ends = [own(F.col(c), e) for c, e in (("_xa", "ax"), ("_ya", "ay"), ("_xb", "bx"), ("_yb", "by"))]
+    placed = placed.select(*others, "_gx", "_gy", *ends, *side)
+
+    def filled(part: pd.DataFrame) -> pd.DataFrame:
+        columns = int(part["_low"].iloc[0]), int(part["_high"].iloc[0])
+        made = backdrop(columns, *(part[c].to_numpy() for c in ("_first", "_last", "_ya", "_yb")))
+        out = pd.DataFrame(made, columns=["_gx", "_side", "ay", "by"])
+        for k, c in enumerate([*others, "_gy"]):
+            out.insert(k, c, part[c].iloc[0])
+        return out
+
+    types = [f"`{c}` {edges.schema[c].dataType.simpleString()}" for c in others]
+    spread = rows.where(wide).select(*others, "_gy", low.alias("_low"), high.alias("_high"), first.alias("_first"), last.alias("_last"), "_ya", "_yb")
+    inner = spread.groupBy(*others, "_gy").applyInPandas(filled, ", ".join([*types, "_gy bigint, _gx bigint, _side int, ay double, by double"]))
+    x = (F.col("_gx") + F.col("_side")) * tile
+    inner = inner.select(
+        *others, "_gx", "_gy", x.alias("ax"), "ay", x.alias("bx"), "by",
+        (F.col("_gx") * tile).alias("ex0"), F.col("ay").alias("ey0"), ((F.col("_gx") + 1) * tile).alias("ex1"), F.col("by").alias("ey1"),
+    )
+    return placed.unionByName(inner)
+
+
 def route_to_tiles(
     edges: DataFrame, *, on: Sequence[str] = (), tile: float = TILE_M, hot_edges: int = HOT_EDGES
 ) -> DataFrame:
-    """Send every edge to the tiles of its rows across the whole width of its geometry, cut to the tile.
+    """Send every edge to the tiles it influences, cut to the tile.
 
     Edges beside a tile are moved onto its side, which keeps the inside/outside
     parity of every scan line in the tile.
     """
     keys = [*on, "_gx", "_gy"]
-    cells = with_cells(edges, EDGE_BOX, tile)
+    cells = _base_tiles(edges, tile)
     hot = F.broadcast(crowded_cells([cells], keys, hot_edges))
     fine = _refine(
         cells.join(hot, keys, "left").withColumn("_depth", F.coalesce("_depth", F.lit(0))), EDGE_BOX, tile, 0.0

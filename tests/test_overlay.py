@@ -215,3 +215,53 @@ def test_many_shapes_in_a_tile_stack_quickly():
     start = time.perf_counter()
     s = OV._swept(pdf, np.zeros(2 * n, np.int64), [(2, SW.tile_edges(0, 0, 128, 128))], group)
     assert time.perf_counter() - start < 5 and math.isclose(s.area[s.cover_trap[s.cover_poly == 0]].sum(), n)
+
+
+def rings_of(rng, seq, n, r, hole):
+    """A jagged ring, with another one cut out of its middle, on a lattice that tile borders share."""
+    shell = [(round(x * 4) / 4, round(y * 4) / 4) for x, y in star(rng, n, 0, 0, r)]
+    part = [ring(shell)]
+    if hole:
+        part.append(ring([(x * 0.3, y * 0.3) for x, y in shell]))
+    return (seq, seq, [part])
+
+
+@pytest.mark.parametrize("hot_edges", [30, 50_000])
+@pytest.mark.parametrize("tile", [2.0, 5.0])
+def test_wide_geometries_by_backdrops(spark, tile, hot_edges):
+    """Many tiles across: the same areas as in one tile, and rows for edges and tiles instead of edges times columns."""
+    rng = np.random.default_rng(31)
+    rows = [rings_of(rng, k, int(rng.integers(5, 90)), float(rng.uniform(6, 60)), k % 2 == 0) for k in range(12)]
+    df = spark.createDataFrame(rows, f"seq bigint, rank bigint, parts {PARTS}")
+    areas = lambda **o: {r["seq"]: (r["source_area"], r["owned_area"]) for r in OV.surface_areas(df, **o).collect()}
+    whole, tiled = areas(tile=1000.0), areas(tile=tile, hot_edges=hot_edges)
+    assert whole.keys() == tiled.keys()
+    for k, (source, owned) in whole.items():
+        assert tiled[k] == pytest.approx((source, owned), abs=1e-6)
+
+
+def test_rows_of_a_wide_geometry(spark):
+    n, tile = 3000, 1.0
+    t = 2 * np.pi * np.arange(n) / n
+    points = list(zip((400 + 60 * np.sin(11 * t)) * np.cos(t), 20 * np.sin(t)))
+    df = spark.createDataFrame([(1, 1, [[ring(points)]])], f"seq bigint, rank bigint, parts {PARTS}")
+    routed = OV.route_to_tiles(OV.edge_rows(df), tile=tile)
+    per_tile = routed.groupBy(*OV.TILE_KEYS).count().collect()
+    # Edges cut at rows and columns, and at most a few stretches for each side of a tile.
+    assert sum(r["count"] for r in per_tile) < 3 * n + 4 * len(per_tile) and len(per_tile) < shoelace(points) + 2 * n
+    assert OV.surface_areas(df, tile=tile).first()["source_area"] == pytest.approx(shoelace(points), rel=1e-9)
+
+
+def test_backdrop_counts_like_a_plain_scan():
+    rng = np.random.default_rng(32)
+    for _ in range(200):
+        n = int(rng.integers(1, 12))
+        first = rng.integers(0, 9, n)
+        last = np.minimum(9, first + rng.integers(0, 3, n))
+        ya, yb = rng.integers(0, 6, n).astype(float), rng.integers(0, 6, n).astype(float)
+        got = OV.backdrop((0, 9), first, last, ya, yb)
+        for c in range(10):
+            for side, beside in ((0, last < c), (1, first > c)):
+                for y in np.arange(6) + 0.5:
+                    odd = sum(b and min(p, q) < y < max(p, q) for b, p, q in zip(beside, ya, yb)) % 2
+                    assert odd == sum(a < y < b for k, s, a, b in got if (k, s) == (c, side))
