@@ -353,8 +353,10 @@ def nearest_ground(
 ) -> DataFrame:
     """Ground height at each vertex: own cell, then the first ring of cells with a hit, else the mean.
 
-    Rings are searched in two steps (near, then far) and only for vertices
-    that are still unresolved, so the fan-out of cells is paid by the misses.
+    Vertices without ground in their own cell are searched from coarse to fine:
+    a coarse cell of ``max_ring + 1`` cells a side lists its occupied cells, at
+    most nine coarse cells hold all rings of a vertex, and only the occupied
+    cells of the nearest ring are opened.
     """
     gx, gy, gz = ground_xyz
     buckets = ground.withColumns({"_bx": F.floor(F.col(gx) / cell), "_by": F.floor(F.col(gy) / cell)})
@@ -362,26 +364,34 @@ def nearest_ground(
         {"_vx": F.floor(F.col(xy[0]) / cell), "_vy": F.floor(F.col(xy[1]) / cell)}
     )
     ids = list(dict.fromkeys([*on, *key]))
-    found = None
-    steps = [(0, 0), (1, min(3, max_ring)), (4, max_ring)]
-    for first, last in steps:
-        if first > last:
-            continue
-        offsets = F.sequence(F.lit(-last), F.lit(last))
-        probes = (
-            todo.withColumn("_dx", F.explode(offsets))
-            .withColumn("_dy", F.explode(offsets))
-            .withColumn("_ring", F.greatest(F.abs("_dx"), F.abs("_dy")))
-            .where(F.col("_ring") >= first)
-            .withColumns({"_bx": F.col("_vx") + F.col("_dx"), "_by": F.col("_vy") + F.col("_dy")})
+    d2 = (F.col(gx) - F.col(xy[0])) ** 2 + (F.col(gy) - F.col(xy[1])) ** 2
+    dx, dy = F.col("_bx") - F.col("_vx"), F.col("_by") - F.col("_vy")
+    nearest = lambda pairs: pairs.groupBy(*ids).agg(
+        F.min_by(F.col(gz), F.struct(d2, dx, dy, F.col(order))).alias("ground_z")
+    )
+    own = [*on, "_bx", "_by"]
+    found = nearest(todo.withColumns({"_bx": F.col("_vx"), "_by": F.col("_vy")}).join(buckets, own))
+    if max_ring > 0:
+        side = max_ring + 1
+        coarse = lambda v: F.floor(v / side)
+        occupied = buckets.select(*own).distinct()
+        pyramid = occupied.groupBy(*on, coarse(F.col("_bx")).alias("_cx"), coarse(F.col("_by")).alias("_cy")).agg(
+            F.collect_list(F.struct("_bx", "_by")).alias("_cells")
         )
-        pairs = probes.join(buckets, [*on, "_bx", "_by"])
-        d2 = (F.col(gx) - F.col(xy[0])) ** 2 + (F.col(gy) - F.col(xy[1])) ** 2
-        hits = pairs.groupBy(*ids).agg(
-            F.min_by(F.col(gz), F.struct("_ring", d2, "_dx", "_dy", F.col(order))).alias("ground_z")
+        probes = todo.join(found.select(*ids), ids, "left_anti")
+        for v, c in (("_vx", "_cx"), ("_vy", "_cy")):
+            probes = probes.withColumn(c, F.explode(F.sequence(coarse(F.col(v) - max_ring), coarse(F.col(v) + max_ring))))
+        ring = lambda e: F.greatest(F.abs(e["_bx"] - F.col("_vx")), F.abs(e["_by"] - F.col("_vy")))
+        probes = probes.join(pyramid, [*on, "_cx", "_cy"]).withColumn("_ring", F.array_min(F.transform("_cells", ring)))
+        probes = probes.where(F.col("_ring") <= max_ring)
+        # At most nine coarse cells, each with what it holds of its nearest ring.
+        rings = probes.groupBy(*ids, *xy, "_vx", "_vy").agg(
+            F.min("_ring").alias("_first"),
+            F.collect_list(F.struct("_ring", F.filter("_cells", lambda e: ring(e) == F.col("_ring")).alias("c"))).alias("_all"),
         )
-        found = hits if found is None else found.unionByName(hits)
-        todo = todo.join(hits.select(*ids), ids, "left_anti")
+        cells = F.flatten(F.transform(F.filter("_all", lambda e: e["_ring"] == F.col("_first")), lambda e: e["c"]))
+        opened = rings.select(*ids, *xy, "_vx", "_vy", F.inline(cells))
+        found = found.unionByName(nearest(opened.join(buckets, own)))
     if on:
         mean = ground.groupBy(*on).agg(F.avg(gz).alias("_mean"))
         resolved = vertices.join(found, ids, "left").join(mean, list(on), "left")

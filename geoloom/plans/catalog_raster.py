@@ -457,7 +457,7 @@ NEAREST_SQL = ctes(
     "fx_rects",
     extra=[
         ("g", "select *, floor(x / 2) as bx, floor(y / 2) as by_ from fx_cells where ground_z is not null"),
-        ("v", "select region, seq, x0 as x, y0 as y, floor(x0 / 2) as vx, floor(y0 / 2) as vy from fx_rects where category = 'buildings'"),
+        ("v", "select region, seq, x0 as x, y0 as y, floor(x0 / 2) as vx, floor(y0 / 2) as vy from fx_rects"),
         ("p", "select v.region, v.seq, g.ground_z, greatest(abs(g.bx - v.vx), abs(g.by_ - v.vy)) as ring, power(g.x - v.x, 2) + power(g.y - v.y, 2) as d2,"
          " g.bx - v.vx as dx, g.by_ - v.vy as dy, g.seq as gseq from v join g on g.region = v.region and abs(g.bx - v.vx) <= 12 and abs(g.by_ - v.vy) <= 12"),
         ("rk", "select *, row_number() over (partition by region, seq order by ring, d2, dx, dy, gseq) as rn from p"),
@@ -468,10 +468,8 @@ NEAREST_SQL = ctes(
 
 @query("nearest_ground", NEAREST_SQL)
 def nearest_ground(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ground under the first corner of every building: own cell, rings, then the mean."""
-    corners = view(spark, sf_dir, "fx_rects").where("category = 'buildings'").select(
-        "region", "seq", F.col("x0").alias("x"), F.col("y0").alias("y")
-    )
+    """Ground under the first corner of every rectangle: own cell, rings, then the mean."""
+    corners = view(spark, sf_dir, "fx_rects").select("region", "seq", F.col("x0").alias("x"), F.col("y0").alias("y"))
     ground = cells(spark, sf_dir).where("ground_z is not null").select(
         "region", F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("ground_z").alias("gz"), F.col("seq").alias("gseq")
     )

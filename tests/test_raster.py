@@ -1,5 +1,8 @@
 """Raster operators on small grids with known answers."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +163,26 @@ def test_nearest_ground_rings(spark):
     assert got == {1: 5.0, 2: 7.0, 3: 6.0}
 
 
+@pytest.mark.parametrize("max_ring", [0, 1, 5])
+def test_nearest_ground_equals_a_scan_of_all_rings(spark, max_ring):
+    rng = random.Random(41)
+    ground = [(rng.uniform(-30, 30), rng.uniform(-30, 30), float(k), k) for k in range(60)]
+    points = [(k, rng.uniform(-45, 45), rng.uniform(-45, 45)) for k in range(150)]
+    cell, floor = 2.0, lambda v: math.floor(v / 2.0)
+    mean, want = sum(g[2] for g in ground) / len(ground), {}
+    for k, x, y in points:
+        near = []
+        for gx, gy, gz, seq in ground:
+            dx, dy = floor(gx) - floor(x), floor(gy) - floor(y)
+            if max(abs(dx), abs(dy)) <= max_ring:
+                near.append((max(abs(dx), abs(dy)), (gx - x) ** 2 + (gy - y) ** 2, dx, dy, seq, gz))
+        want[k] = min(near)[-1] if near else mean
+    g = spark.createDataFrame(ground, "gx double, gy double, gz double, gseq int")
+    p = spark.createDataFrame(points, "id int, x double, y double")
+    got = {r["id"]: r["ground_z"] for r in S.nearest_ground(p, g, key=["id"], cell=cell, max_ring=max_ring).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_roof_level_pool_order():
     x, y, z = np.array([0.0, 50.0]), np.zeros(2), np.array([30.0, 40.0])
     assert R._roof_level(x, y, z, np.array([1.0, 4.0]), 10.0) == 30.0
