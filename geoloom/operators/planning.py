@@ -26,28 +26,35 @@ def _numeric_json(text: Column) -> Column:
     return F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
 
 
-def _parsed(properties: Column) -> Column:
-    """Typed fields and structural flags of one property map."""
+def _folded(properties: Column) -> Column:
+    """``m`` (first value per lower-case key) and ``given`` (number of entries) of one property map."""
 
     def by_key(entries: Column) -> Column:
         folded = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-        return M.let(folded, lambda es: M.let(_first_by_key(es), lambda m: fields(m, F.size(es))))
-
-    def fields(m: Column, given: Column) -> Column:
-        raw = lambda name: F.try_element_at(m, F.lit(name))
-        quoted = lambda name: F.when(
-            raw(name).startswith('"'), A.strip(F.regexp_replace(raw(name), '^"|"$', ""))
-        )
-        return F.struct(
-            F.map_keys(m).alias("keys"),
-            (F.size(m) != given).alias("repeated"),
-            *[quoted(name).alias(name) for name in ("id", "kind", "model")],
-            *[_numeric_json(raw(name)).alias(name) for name in ALL_DIMENSIONS],
-        )
+        return M.let(folded, lambda es: F.struct(_first_by_key(es).alias("m"), F.size(es).alias("given")))
 
     return M.let(F.map_entries(properties), by_key)
 
 
+def _parsed(m: Column, given: Column) -> Column:
+    """Typed fields and structural flags of one folded property map."""
+    raw = lambda name: F.try_element_at(m, F.lit(name))
+    quoted = lambda name: F.when(
+        raw(name).startswith('"'), A.strip(F.regexp_replace(raw(name), '^"|"$', ""))
+    )
+    return F.struct(
+        F.map_keys(m).alias("keys"),
+        (F.size(m) != given).alias("repeated"),
+        *[quoted(name).alias(name) for name in ("id", "kind", "model")],
+        *[_numeric_json(raw(name)).alias(name) for name in ALL_DIMENSIONS],
+    )
+
+
+def _staged(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` plus a column that is computed once per row, however often it is used (generated rows are not inlined)."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _first_by_key(entries: Column) -> Column:
     """Map of the first entry per key."""
     keys = lambda es: F.transform(es, lambda e: e["key"])
@@ -95,11 +102,11 @@ def normalize(points: DataFrame, region: Region, model_names: DataFrame | None =
     """
     mercator_x, mercator_y = C.inverse_web_mercator(F.col("x"), F.col("y"))
     web = F.col("source_crs") == "EPSG:3857"
-    parsed = _parsed(F.col("properties"))
-    df = points.withColumns(
+    folded = _staged(points, _folded(F.col("properties")), "_f")
+    parsed = _staged(folded, _parsed(F.col("_f.m"), F.col("_f.given")), "_n").drop("_f")
+    df = parsed.withColumns(
         {
-            "_n": parsed,
-            "_problems": M.let(parsed, _problems),
+            "_problems": _problems(F.col("_n")),
             "lon": F.when(web, mercator_x).when(F.col("x").between(-180.0, 180.0), F.col("x")),
             "lat": F.when(web, mercator_y).when(F.col("y").between(-90.0, 90.0), F.col("y")),
         }

@@ -821,7 +821,7 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     "source_union",
     mixed_sql(
         f", u as (select 0 as source_no, category, osm_type from m union all select 1, 'trees', 'urban_planning' from (select {', '.join(__import__('geoloom.plans.fixtures', fromlist=['VIEWS']).VIEWS['fx_planning'][1])}"
-        f" from events where event_type in ('purchase', 'signup')) p join {INPUTS_SQL} on i.name = p.input_name and i.enabled)"
+        f" from events) p join {INPUTS_SQL} on i.name = p.input_name and i.enabled)"
         " select cast(source_no as bigint) as source_no, category, osm_type, count(*) as n from u group by 1, 2, 3"
     ),
 )

@@ -118,10 +118,10 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         [
             "cast(floor(event_id / 10000) as bigint) as region",
             "event_id as osm_num",
-            "case when event_type = 'signup' then 'tree' else 'air_purifier' end as kind",
+            "case when event_type in ('signup', 'click') then 'tree' else 'air_purifier' end as kind",
             "concat('P-', cast(event_id as string)) as id",
             "case when event_id % 3 = 0 then 'north' else 'south' end as input_name",
-            "case when event_type = 'signup' then case when event_id % 2 = 0 then 'umbrella_pine' else 'palm' end"
+            "case when event_type in ('signup', 'click') then case when event_id % 2 = 0 then 'umbrella_pine' else 'palm' end"
             " else case when event_id % 2 = 0 then 'compact_octagonal_tower' else 'compact_four_side_tower' end end as model",
             f"case when event_id % 5 in (0, 1) then {_d('3 + event_id % 7')} end as height_m",
             f"case when event_id % 5 in (1, 2) then {_d('1 + event_id % 4')} end as width_m",
@@ -132,7 +132,6 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         ],
     ),
 }
-PLANNING_FILTER = "event_type in ('purchase', 'signup')"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,8 +140,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = VIEWS[name]
-    df = table(spark, sf_dir, source).selectExpr(*[c.replace('"', "`") for c in columns])
-    return df.where(PLANNING_FILTER) if name == "fx_planning" else df
+    return table(spark, sf_dir, source).selectExpr(*[c.replace('"', "`") for c in columns])
 
 
 def ctes(*names: str, extra: Sequence[tuple[str, str]] = ()) -> str:
@@ -150,8 +148,7 @@ def ctes(*names: str, extra: Sequence[tuple[str, str]] = ()) -> str:
     parts = []
     for name in names:
         source, columns = VIEWS[name]
-        where = f" where {PLANNING_FILTER}" if name == "fx_planning" else ""
-        parts.append(f"{name} as (select {', '.join(columns)} from {source}{where})")
+        parts.append(f"{name} as (select {', '.join(columns)} from {source})")
     parts += [f"{name} as ({sql})" for name, sql in extra]
     return "with " + ", ".join(parts) + " "
 
