@@ -39,6 +39,9 @@ from geoloom.operators.skew import connected_components
 BLOCK = 2_048
 BLOCK_SHINGLES = 4_000_000
 PIVOTS = 8
+#: Buckets up to this size are compared pair by pair, many buckets at once.
+SMALL = 32
+_CHUNK = 200_000
 _FLUSH = 20_000
 _LINKS = "u binary, v binary"
 
@@ -192,11 +195,58 @@ def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in part], pa.binary()) for i in (0, 1)], names=["u", "v"])
 
 
+def _small_pairs(length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j), i < j, of the pairs inside consecutive groups of the given sizes, in pieces."""
+    ends = np.cumsum(length)
+    end_of = np.repeat(ends, length)
+    at = np.arange(len(end_of))
+    for d in range(1, int(length.max(initial=0))):
+        at = at[at + d < end_of[at]]
+        for k in range(0, len(at), _CHUNK):
+            yield at[k : k + _CHUNK], at[k : k + _CHUNK] + d
+
+
+def _alike_pairs(batches: Iterator[pa.RecordBatch], how: Sketch) -> Iterator[pa.RecordBatch]:
+    """Links of the buckets (``key, block``, in order): small buckets pair by pair, large ones as forests."""
+
+    def linked(rows: pa.Table, length: np.ndarray) -> Iterator[pa.RecordBatch]:
+        small = length <= SMALL
+        keep = np.repeat(small & (length > 1), length)
+        part = rows.filter(pa.array(keep))
+        node, own = part.column("node").to_pylist(), Signatures(part, how) if part.num_rows else None
+        for i, j in _small_pairs(length[small & (length > 1)]):
+            near = how.sizes_allow(own.sizes[i], own.sizes[j])
+            i, j = i[near], j[near]
+            near = how.alike(own.sigs[i], own.sigs[j]) >= 0
+            u, v = ([node[k] for k in x[near].tolist()] for x in (i, j))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+        starts = np.cumsum(length) - length
+        for k in np.flatnonzero(~small).tolist():
+            one = rows.slice(int(starts[k]), int(length[k]))
+            yield from _run(iter(one.combine_chunks().to_batches()), lambda t: forest(t.num_rows, Signatures(t, how).near))
+
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        key, block = (rows.column(c).to_numpy() for c in ("key", "block"))
+        starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])))) if len(key) else []
+        if len(starts) > 1:  # the last bucket may go on in the next batch
+            yield from linked(rows.slice(0, int(starts[-1])), np.diff(starts))
+            rows = rows.slice(int(starts[-1]))
+        held = rows
+    if held is not None and held.num_rows:
+        yield from linked(held, np.array([held.num_rows]))
+
+
 def _linked(met: DataFrame, how: Sketch, compare: type) -> DataFrame:
     """Links between the nodes of each ``key``: ``met`` has ``key, blocks, pivot, node`` and what ``compare`` reads."""
     own = [c for c in met.columns if c not in ("blocks", "pivot")]
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if compare is Signatures:
+            yield from _alike_pairs(batches, how)
+            return
         yield from _run(batches, lambda one: forest(one.num_rows, compare(one, how).near))
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
