@@ -37,11 +37,11 @@ from geoloom.operators.skew import connected_components
 
 #: Nodes of one bucket or cluster that meet in one task, and shingles that do.
 BLOCK = 2_048
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 1_000_000
 PIVOTS = 8
 #: Buckets up to this size are compared pair by pair, many buckets at once.
 SMALL = 32
-_CHUNK = 200_000
+_CHUNK = 20_000
 _FLUSH = 20_000
 _LINKS = "u binary, v binary"
 
